@@ -183,6 +183,7 @@ def compose(text: str) -> tuple[str, list[int]]:
 
 
 _WORD = re.compile(r"[^\W\d_]+")
+_CYRILLIC = re.compile(f"[{CYRILLIC}]")
 _FIXED: dict[str, str] = {}
 
 
@@ -248,6 +249,8 @@ class Normaliser:
                     hosts = [h.span() for h in HOST.finditer(out)]
                 if any(a <= m.start() and m.end() <= b for a, b in hosts) or self._hyphened(out, m):
                     continue
+                if len(w) <= 3 and not _CYRILLIC.search(out):
+                    continue  # a few Latin letters alone, with nothing that speaks for Cyrillic
             fixed = self.token(w)
             if fixed != w:
                 found = True
