@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.llm import p1, p2, p3, p5, p6, p7
+from adlens.llm import p1, p2, p3, p5, p6, p7, p8
 
-MODULES = (p1, p2, p3, p5, p6, p7)
+MODULES = (p1, p2, p3, p5, p6, p7, p8)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
