@@ -65,3 +65,13 @@ def in_bbox(lon: Column, lat: Column, bbox: tuple[float, float, float, float] |
 def valid_position(lon: Column, lat: Column) -> Column:
     """Neither null, nor NaN, nor the (0, 0) placeholder, nor off the globe."""
     return F.coalesce(lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0) & ~((lon == 0) & (lat == 0)), F.lit(False))
+
+
+def polyline_metres(points: Column) -> Column:
+    """Length of an array<struct<lon,lat>>; 0 for fewer than two points."""
+    legs = F.zip_with(
+        F.slice(points, 1, F.greatest(F.size(points) - 1, F.lit(0))),
+        F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0))),
+        lambda a, b: distance_m(a["lon"], a["lat"], b["lon"], b["lat"]),
+    )
+    return F.aggregate(legs, F.lit(0.0), lambda s, x: s + x)

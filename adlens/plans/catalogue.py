@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.plans import near
+from adlens.plans import near, scalars
 
-MODULES = (near,)
+MODULES = (near, scalars)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.p4_found(spark, sf_dir)
+    return scalars.q_category_stats(spark, sf_dir)
