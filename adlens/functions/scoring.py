@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adlens.functions.binding import let
 from adlens.functions.text import name_key, strip
 
 OTHER, UNKNOWN = "другое", "не определено"
@@ -62,11 +63,14 @@ def keyword_category(text: Column, names: Mapping[str, Sequence[str]] = NAMES, k
 
     Text under four characters tells nothing; text without hits is something else.
     """
-    low = F.lower(strip(F.coalesce(text, F.lit(""))))
     scan = [(cat, words, 2) for cat, words in names.items()] + [(cat, words, 1) for cat, words in keywords.items()]
-    scored = [F.struct(hits(low, words, w).alias("hits"), F.lit(-i).alias("order"), F.lit(cat).alias("category")) for i, (cat, words, w) in enumerate(scan)]
-    best = F.array_max(F.array(*scored))
-    return F.when(F.length(low) < MIN_TEXT, UNKNOWN).when(best["hits"] == 0, OTHER).otherwise(best["category"])
+
+    def best_of(low: Column) -> Column:
+        scored = [F.struct(hits(low, words, w).alias("hits"), F.lit(-i).alias("order"), F.lit(cat).alias("category")) for i, (cat, words, w) in enumerate(scan)]
+        best = let(F.array_max(F.array(*scored)), lambda b: F.when(b["hits"] == 0, OTHER).otherwise(b["category"]))
+        return F.when(F.length(low) < MIN_TEXT, UNKNOWN).otherwise(best)
+
+    return let(F.lower(strip(F.coalesce(text, F.lit("")))), best_of)
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -80,9 +84,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 def softmax(scores: Column, scale: float = 1.0) -> Column:
     """Probabilities of an array of scores, safe against overflow."""
-    top = F.array_max(scores)
-    e = F.transform(scores, lambda x: F.exp((x - top) * scale))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+    spread = lambda s: let(F.array_max(s), lambda top: F.transform(s, lambda x: F.exp((x - top) * scale)))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda s, y: s + y)
+    return let(let(scores, spread), lambda e: let(total(e), lambda t: F.transform(e, lambda x: x / t)))
 
 
 def zero_shot(vector: Column, prompts: Sequence[tuple[str, Sequence[float]]], scale: float = 1.0) -> Column:
@@ -108,8 +112,8 @@ def visual_gate(
 def word_recall(truth: Column, got: Column) -> Column:
     """Share of the truth's words of three letters or more found in the reading; null if it has none."""
     words = F.filter(F.split(name_key(truth, "%"), " "), lambda w: F.length(w) >= 3)
-    hay = name_key(got, "%")
-    return F.try_divide(F.size(F.filter(words, lambda w: F.contains(hay, w))), F.size(words))
+    found = lambda ws, hay: F.try_divide(F.size(F.filter(ws, lambda w: F.contains(hay, w))), F.size(ws))
+    return let(name_key(got, "%"), lambda hay: let(words, lambda ws: found(ws, hay)))
 
 
 def answer_matches(expected: Column, got: Column) -> Column:

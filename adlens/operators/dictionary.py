@@ -14,6 +14,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.functions.binding import let
 from adlens.functions.text import name_key, strip
 
 DEFAULT_CATEGORY = "недвижимость"
@@ -65,8 +66,8 @@ class Directory:
 
     def _alias(self, key: Column) -> Column:
         exact = F.get(F.filter(self.aliases, lambda e: e["key"] == key), F.lit(0))
-        spaced = F.concat(F.lit(" "), key, F.lit(" "))
-        word = F.get(F.filter(self.aliases, lambda e: (F.length(e["key"]) >= 3) & F.contains(spaced, F.concat(F.lit(" "), e["key"], F.lit(" ")))), F.lit(0))
+        within = lambda spaced: F.filter(self.aliases, lambda e: (F.length(e["key"]) >= 3) & F.contains(spaced, F.concat(F.lit(" "), e["key"], F.lit(" "))))
+        word = F.get(let(F.concat(F.lit(" "), key, F.lit(" ")), within), F.lit(0))
         return F.when(key != "", F.coalesce(exact, word))
 
     def lookup(self, raw: Column, hint: Column | None = None) -> Column:
@@ -74,18 +75,21 @@ class Directory:
 
         Unknown names come back trimmed and unmatched; null or signless names give nulls.
         """
-        key = name_key(raw)
-        hit = self._complex(key)
+        by_name = lambda key: F.coalesce(self._complex(key), self._alias(key))
+        hit = let(name_key(raw), by_name)
         if hint is not None:
-            hit = F.coalesce(self._complex(name_key(hint)), hit)
-        hit = F.coalesce(hit, self._alias(key))
+            hit = F.coalesce(let(name_key(hint), self._complex), hit)
+        return let(hit, lambda h: self._answer(h, raw))
+
+    @staticmethod
+    def _answer(hit: Column, raw: Column) -> Column:
         known = F.struct(
             hit["canonical"].alias("canonical"), F.lit(True).alias("matched"), hit["role"].alias("role"), hit["complex"].alias("complex_name"),
             hit["site"].alias("site"), hit["phone"].alias("phone"), hit["category"].alias("category"),
         )
         none = F.lit(None).cast("string")
         unknown = F.struct(
-            F.when(key != "", strip(raw)).alias("canonical"), F.lit(False).alias("matched"), none.alias("role"), none.alias("complex_name"),
+            F.when(name_key(raw) != "", strip(raw)).alias("canonical"), F.lit(False).alias("matched"), none.alias("role"), none.alias("complex_name"),
             none.alias("site"), none.alias("phone"), none.alias("category"),
         )
         return F.when(hit.isNotNull(), known).otherwise(unknown).cast(ANSWER)

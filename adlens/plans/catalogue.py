@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlens.plans import near, scalars
+from adlens.plans import near, relational, scalars, walks
 
-MODULES = (near, scalars)
+MODULES = (near, scalars, relational, walks)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -43,7 +43,7 @@ class Crawl:
     def table(self, name: str, upto: int | None = None) -> DataFrame:
         schema = T.StructType.fromDDL(SCHEMAS[name])
         try:
-            df = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+            df = self.spark.read.schema(schema).parquet(f"{self.path}/{name}").select(*schema.names)
             df.limit(0).count()
         except Exception as e:  # not written yet
             if "PATH_NOT_FOUND" not in str(e):
@@ -112,14 +112,16 @@ class Crawl:
             n, stopped, reason = rules.max_processed - last.processed, True, "limit"
         links = inside.select(F.col("seq").alias("from"), F.posexplode("neighbor_oids").alias("pos", "oid")).filter("oid is not null")
         links = links.select("oid", F.struct("from", "pos").alias("order")).join(self.table("frontier", level).select("oid"), "oid", "left_anti")
-        new = numbered(first_of_key(links, ["oid"], "order"), ["oid"], "order", "seq", last.next_seq).checkpoint()
+        new = first_of_key(links, ["oid"], "order").checkpoint()
+        n_new = new.count()
+        new = numbered(new, ["oid"], "order", "seq", last.next_seq, rows_known=n_new)
         at = F.lit(level).alias("level")
         self._write(ok.select("panoid", at), "visited", level)
         self._write(kept.select("panoid", "seq", at), "processed", level)
         self._write(kept.filter("recorded").select("seq", "lon", "lat", at), "recorded", level)
         self._write(failed, "failed", level)
         self._write(new.select("oid", "seq", F.lit(level + 1).alias("level")), "frontier", level + 1)
-        return self._commit(level, last.next_seq + new.count(), last.processed + n, stopped, reason)
+        return self._commit(level, last.next_seq + n_new, last.processed + n, stopped, reason)
 
     def _failure_stop(self, failed: DataFrame) -> int | None:
         """Number of the failure that completes the first run of `max_failures`."""
