@@ -7,6 +7,9 @@ neighbours) reproduces the sequential order. Levels are written to the shared fo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,23 +32,26 @@ def nearest(panoramas: DataFrame, lon: float, lat: float) -> DataFrame:
     return panoramas.withColumn("metres", d).filter("metres is not null").orderBy("metres", "panoid").limit(1)
 
 
-def walk(panoramas: DataFrame, lon: float, lat: float, bbox: Box | None = None, max_nodes: int | None = None, max_levels: int = 10_000) -> DataFrame:
+def walk(panoramas: DataFrame, lon: float, lat: float, bbox: Box | None = None, max_nodes: int | None = None, local_nodes: int = 200_000) -> DataFrame:
     """(panoid, level, place) of the panoramas reached from the one nearest to (lon, lat).
 
     Panoramas outside the box are reached but neither given nor expanded. `max_nodes` stops
     the walk once more than so many have been seen, checked before each is taken. Unknown
     oids and failed metadata are skipped; several oids of a panorama are one node, cycles
-    end by themselves; an empty table gives no rows.
+    end by themselves; an empty table gives no rows. Graphs of at most `local_nodes` rows
+    are walked by one task, larger ones by a join per level, with equal results.
     """
     spark = panoramas.sparkSession
     shared_dir(spark)
     meta = usable(panoramas).checkpoint()
+    if meta.count() <= local_nodes:
+        return _walk_in_task(meta, lon, lat, bbox, max_nodes)
     links = meta.select(F.col("panoid").alias("parent"), F.posexplode("neighbor_oids").alias("pos", "oid")).checkpoint()
     inside = geo.in_bbox(F.col("lon"), F.col("lat"), bbox)
     front = nearest(meta, lon, lat).select("panoid", "lon", "lat").withColumn("place", F.lit(0).cast("long")).checkpoint()
     seen, total, done = front.select("panoid"), front.count(), []
     level = 0
-    while total and level < max_levels and (max_nodes is None or total <= max_nodes):
+    while total and (max_nodes is None or total <= max_nodes):
         steps = front.filter(inside).select(F.col("panoid").alias("parent"), F.col("place").alias("from")).join(links, "parent").join(meta, "oid")
         new = steps.select("panoid", "lon", "lat", F.struct("from", "pos").alias("order")).join(seen, "panoid", "left_anti")
         new = first_of_key(new, ["panoid"], "order").checkpoint()
@@ -73,6 +79,39 @@ def walk(panoramas: DataFrame, lon: float, lat: float, bbox: Box | None = None,
     return out
 
 
+def _walk_in_task(meta: DataFrame, lon: float, lat: float, bbox: Box | None, max_nodes: int | None) -> DataFrame:
+    start = nearest(meta, lon, lat).select("panoid").first()
+    if start is None:
+        return meta.sparkSession.createDataFrame([], "panoid string, level int, place long")
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        panoid, nodes = {}, {}
+        for df in batches:
+            for r in df.sort_values("oid").itertuples():
+                panoid[r.oid] = r.panoid
+                at, links = nodes.get(r.panoid, ((r.lon, r.lat), []))
+                nodes[r.panoid] = (at, links + ([] if r.neighbor_oids is None else list(r.neighbor_oids)))
+        seen, out, level, front = {start.panoid}, [], 0, [start.panoid]
+        while front:
+            later: list[str] = []
+            for place, p in enumerate(front):
+                if max_nodes is not None and len(seen) > max_nodes:
+                    later = []
+                    break
+                (x, y), links = nodes[p]
+                if bbox and not (bbox[0] <= x <= bbox[2] and bbox[1] <= y <= bbox[3]):
+                    continue
+                out.append((p, level, place))
+                for q in (panoid.get(o) for o in links):
+                    if q is not None and q not in seen:
+                        seen.add(q)
+                        later.append(q)
+            front, level = later, level + 1
+        yield pd.DataFrame(out, columns=["panoid", "level", "place"])
+
+    return meta.coalesce(1).mapInPandas(task, "panoid string, level int, place long")
+
+
 #: Rows that one task may number.
 SMALL = 50_000
 
