@@ -62,7 +62,9 @@ def recognised(rows: DataFrame, make: Callable[[], Recogniser], keys: list[str])
                     except Exception:
                         parts.append(pd.DataFrame([[None] * len(RESULT) + [True]], columns=[*RESULT, "failed"]))
                 out = pd.concat(parts)
-            yield pd.concat([df[keys].reset_index(drop=True), out.reset_index(drop=True)], axis=1)
+            # Plain objects: joined string parts may be chunked, which Arrow batches can't be.
+            out = out.astype(object).reset_index(drop=True).assign(failed=lambda d: d["failed"].astype(bool))
+            yield pd.concat([df[keys].reset_index(drop=True), out], axis=1)
 
     return rows.mapInPandas(run, f"{ids}, {RESULT_SCHEMA}")
 

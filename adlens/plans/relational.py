@@ -300,7 +300,7 @@ def q_road_points(spark: SparkSession, sf: str) -> DataFrame:
     return s.agg(F.count("*").alias("points"))
 
 
-@query("SELECT panoid, 0 AS idx, 0.1 AS fx0, 0.4 AS fy0, 0.3 AS fx1, 0.6 AS fy1, 1.0 AS score, 'banner' AS label FROM (SELECT DISTINCT panoid FROM panoramas)")
+@query("SELECT panoid, 0 AS idx, CAST(0.1 AS DOUBLE) AS fx0, CAST(0.4 AS DOUBLE) AS fy0, CAST(0.3 AS DOUBLE) AS fx1, CAST(0.6 AS DOUBLE) AS fy1, CAST(1 AS DOUBLE) AS score, 'banner' AS label FROM (SELECT DISTINCT panoid FROM panoramas)")
 def q_fixed_regions(spark: SparkSession, sf: str) -> DataFrame:
     return recognition.fixed_regions(table(spark, sf, "panoramas").select("panoid").distinct(), [(0.1, 0.4, 0.3, 0.6)])
 
