@@ -183,6 +183,7 @@ def compose(text: str) -> tuple[str, list[int]]:
 
 
 _WORD = re.compile(r"[^\W\d_]+")
+_LABEL = re.compile(r"[A-Za-z0-9_-]{2,}")
 _CYRILLIC = re.compile(f"[{CYRILLIC}]")
 _FIXED: dict[str, str] = {}
 
@@ -246,7 +247,8 @@ class Normaliser:
                 if not ambiguous(w):
                     continue
                 if hosts is None:
-                    hosts = [h.span() for h in HOST.finditer(out)]
+                    # Initials with dots are no host, nor is anything with a Cyrillic letter.
+                    hosts = [h.span() for h in HOST.finditer(out) if h.group().isascii() and _LABEL.search(h.group())]
                 if any(a <= m.start() and m.end() <= b for a, b in hosts) or self._hyphened(out, m):
                     continue
                 if len(w) <= 3 and not _CYRILLIC.search(out):
