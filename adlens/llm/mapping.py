@@ -27,8 +27,8 @@ TRANSLIT = dict(zip(
 MISREAD = str.maketrans("03468", "озчбв")
 # Words that frame a name without being part of it.
 FRAME = frozenset(
-    "ооо оао зао ао пао сз гк ип группа компаний компания от застройщика застройщик застройщиком и партнеры партнер официальный "
-    "офис продаж скидки до мая новый проект у реки жк жилой комплекс клубный дом мкр микрорайон корпус очередь "
+    "ооо оао зао ао пао сз гк ип группа компаний компания от застройщика застройщик и партнеры партнер официальный "
+    "офис продаж жк жилой комплекс клубный дом мкр микрорайон корпус очередь "
     "ooo gk zhk oao pao example com net org ru www http https".split()
 )
 NAME_END = re.compile(r"(?:ом|ем|а|у|е|ы|и|ой|ов)$")
