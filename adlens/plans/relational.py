@@ -168,13 +168,13 @@ def q_cache_insert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT seq, coalesce(nullif(category, ''), '?') <> '?' AS has_category, CASE WHEN brand_matched THEN brand ELSE nullif(developer, '') END AS developer,
-  coalesce(nullif(complex_name, ''), 'нет') AS complex_name, starts_with(lower(coalesce(advertiser_type, '')), 'частн') AS personal_ad FROM banners WHERE NOT (coalesce(brand_matched, false) AND brand IS NULL)"""
+    """SELECT seq, coalesce(nullif(category, ''), '?') <> '?' AS has_category, coalesce(CASE WHEN brand_matched THEN brand END, nullif(developer, '')) AS developer,
+  coalesce(nullif(complex_name, ''), 'нет') AS complex_name, starts_with(lower(coalesce(advertiser_type, '')), 'частн') AS personal_ad FROM banners"""
 )
 def q_fused_fields(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     f = recognition.fused(c("category"), c("text"), c("brand_matched"), c("brand"), c("developer"), c("complex_name"), F.lit("нет"), c("advertiser_type"))
-    b = table(spark, sf, "banners").filter("not (coalesce(brand_matched, false) and brand is null)")
+    b = table(spark, sf, "banners")
     return b.select("seq", F.nullif("category", F.lit("")).isNotNull().alias("has_category"), f["developer"].alias("developer"), f["complex_name"].alias("complex_name"), f["personal_ad"].alias("personal_ad"))
 
 
@@ -215,14 +215,14 @@ def q_points_in_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH p AS (SELECT lon, lat, {_CELL} FROM panoramas WHERE {_VALID} AND tile_size = 256 AND timestamp % 7 = 0),
+    f"""WITH p AS (SELECT lon, lat, {_CELL} FROM panoramas WHERE {_VALID} AND list_contains(list_transform(zooms, lambda z: z.level), 0)),
 b AS (SELECT seq, lon, lat, {_CELL} FROM banners WHERE {_VALID})
 SELECT seq FROM b WHERE NOT EXISTS (SELECT 1 FROM p WHERE abs(p.cell_row - b.cell_row) <= 1 AND abs(p.cell_col - b.cell_col) <= 1 AND
   sqrt(power((b.lon - p.lon) * 111320 * cos(radians((b.lat + p.lat) / 2)), 2) + power((b.lat - p.lat) * 111320, 2)) < 75)"""
 )
 def q_far_from(spark: SparkSession, sf: str) -> DataFrame:
     ok = geo.valid_position(F.col("lon"), F.col("lat"))
-    guards = table(spark, sf, "panoramas").filter(ok & (F.col("tile_size") == 256) & (F.col("timestamp") % 7 == 0))
+    guards = table(spark, sf, "panoramas").filter(ok & F.exists("zooms", lambda z: z["level"] == 0))
     return state.far_from(table(spark, sf, "banners").filter(ok).select("seq", "lon", "lat"), guards, 75.0).select("seq")
 
 

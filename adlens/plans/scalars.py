@@ -166,10 +166,10 @@ def q_reading_id(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """SELECT seq, 'geo:' || CAST(round_even(lon, 4) AS VARCHAR) || ':' || CAST(round_even(lat, 4) AS VARCHAR) || ':' ||
   CAST(CAST(round_even(coalesce(bearing_deg, 0) / 10, 0) AS BIGINT) * 10 AS VARCHAR) || ':' || coalesce(category, 'None') AS dedup_key
-FROM banners WHERE abs(lon) >= 1 AND abs(lat) >= 1"""
+FROM banners"""
 )
 def q_coarse_key(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "banners").filter("abs(lon) >= 1 and abs(lat) >= 1")
+    b = table(spark, sf, "banners")
     return b.select("seq", text.coarse_key(F.col("lon"), F.col("lat"), F.col("bearing_deg"), F.col("category")).alias("dedup_key"))
 
 
@@ -181,10 +181,10 @@ def q_coarse_key(spark: SparkSession, sf: str) -> DataFrame:
   CASE WHEN coalesce(nullif(developer, ''), nullif(advertiser, ''), '') <> '' AND NOT coalesce(brand_matched, false)
     THEN coalesce(nullif(developer, ''), nullif(advertiser, '')) || ' (не опознан)' ELSE coalesce(nullif(developer, ''), nullif(advertiser, ''), '') END AS developer,
   coalesce(complex_name, '') AS complex_name, starts_with(lower(coalesce(advertiser_type, '')), 'частн') AS personal
-FROM banners WHERE abs(lon) >= 1 AND abs(lat) >= 1"""
+FROM banners"""
 )
 def q_display(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "banners").filter("abs(lon) >= 1 and abs(lat) >= 1")
+    b = table(spark, sf, "banners")
     c = F.col
     return b.select(
         "seq", text.deep_link(c("lon"), c("lat"), c("bearing_deg"), "https://maps.example.net/").alias("link"), text.shot_date(c("timestamp")).alias("shot_date"),
