@@ -103,12 +103,15 @@ class SpellingTrie:
 
     def __init__(self, words: Iterable[tuple[str, int]]):
         self.root: dict = {}
-        for word, n in words:
-            node = self.root
-            for c in word:
-                node = node.setdefault(c, {})
-            node[""] = (max(n, node.get("", (0, ""))[0]), word)
         self.known: dict[tuple[str, int], tuple[float, int, str] | None] = {}
+        for word, n in words:
+            self.add(word, n)
+
+    def add(self, word: str, n: int) -> None:
+        node = self.root
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = (max(n, node.get("", (0, ""))[0]), word)
 
     def find(self, token: str, budget: int = 0) -> tuple[float, int, str] | None:
         """(cost, frequency, word) of the best word within the budget."""
@@ -216,6 +219,17 @@ class Normaliser:
     def __init__(self, words: Iterable[tuple[str, int]]):
         self.trie = SpellingTrie(words)
         self.tokens: dict[str, str] = {}
+        self.learnt: set[str] = set()
+
+    def learn(self, words: Iterable[tuple[str, int]]) -> None:
+        """Adds canonical words that a value's tokens may stand for."""
+        for word, n in words:
+            if word in self.learnt:
+                continue
+            self.learnt.add(word)
+            self.trie.add(word, n)
+            self.trie.known.clear()
+            self.tokens.clear()
 
     def token(self, token: str) -> str:
         """Canonical spelling of a composed token, in the token's own case."""

@@ -33,26 +33,38 @@ def word_counts(cells: DataFrame) -> DataFrame:
     return cells.select(F.explode(F.transform(words, F.lower)).alias("word")).groupBy("word").count().withColumnRenamed("count", "n")
 
 
-def spellings(cells: DataFrame) -> list[tuple[str, int]]:
-    """Canonical words: all that could be disguised whole, and the most frequent others.
+LATIN = "abcehijkmopstxy"
+CYRILLIC = "".join({"b": "в", "h": "н", "k": "к", "m": "м", "t": "т"}.get(c) or cf._TO["cyrillic"][c] for c in LATIN)
+
+
+def spellings(cells: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None]:
+    """Canonical words, and a table (shape, word, n) of the fully ambiguous ones if they are too many.
 
     Of two whole-word twins the more frequent is kept, so an ordinary Latin word stays.
     """
     counts = word_counts(cells).persist(StorageLevel.MEMORY_AND_DISK)
     both = f"^[{cf.AMBIGUOUS_CYRILLIC.lower()}]+$|^[{cf.AMBIGUOUS_LATIN.lower()}]+$"
-    latin = "abcehijkmopstxy"
-    cyrillic = "".join({"b": "в", "h": "н", "k": "к", "m": "м", "t": "т"}.get(c) or cf._TO["cyrillic"][c] for c in latin)
-    shape = F.translate("word", latin, cyrillic)
     twins = (
         counts.filter(F.col("word").rlike(both))
-        .groupBy(shape.alias("shape"))
-        .agg(F.max(F.struct("n", "word")).alias("best"), F.max(F.col("word").rlike("[a-z]")).alias("has_latin"))
-        .select("best.word", "best.n")
+        .groupBy(F.translate("word", LATIN, CYRILLIC).alias("shape"))
+        .agg(F.max(F.struct("n", "word")).alias("best"))
+        .select("shape", "best.word", "best.n")
     )
-    ambiguous = twins.orderBy(F.desc("n"), "word").limit(MAX_AMBIGUOUS + 1).collect()
-    frequent = counts.filter("n >= 2").filter(~F.col("word").rlike(both)).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    words = counts.filter("n >= 2").filter(~F.col("word").rlike(both)).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    known = twins.limit(MAX_AMBIGUOUS + 1).collect()
+    if len(known) > MAX_AMBIGUOUS:
+        return [(r.word, r.n) for r in words], twins
     counts.unpersist()
-    return [(r.word, r.n) for r in (*ambiguous, *frequent)]
+    return [(r.word, r.n) for r in (*words, *known)], None
+
+
+def hinted(cells: DataFrame, twins: DataFrame) -> DataFrame:
+    """Adds `hints`, the twins of a value's ambiguous Latin words, by a join on their shape."""
+    found = F.regexp_extract_all("value", F.lit(rf"(?<![\p{{L}}])[{cf.AMBIGUOUS_LATIN}]+(?![\p{{L}}])"), F.lit(0))
+    shapes = F.array_distinct(F.transform(found, lambda w: F.translate(F.lower(w), LATIN, CYRILLIC)))
+    of = cells.select("value").distinct().select("value", F.explode(shapes).alias("shape")).join(twins, "shape")
+    hints = of.groupBy("value").agg(F.collect_set(F.struct("word", "n")).alias("hints"))
+    return cells.join(hints, "value", "left").select(*cells.columns, "hints")
 
 
 def consistent(banners: DataFrame) -> DataFrame:
@@ -63,20 +75,28 @@ def consistent(banners: DataFrame) -> DataFrame:
     handled whole, repeated rows keep their own seq, an empty table gives no rows.
     """
     cells = values(banners)
-    shared = banners.sparkSession.sparkContext.broadcast(spellings(cells))
+    words, twins = spellings(cells)
+    shared = banners.sparkSession.sparkContext.broadcast(words)
     made: list[cf.Normaliser] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
             made.append(cf.Normaliser(shared.value))
         for batch in batches:
+            if batch.num_columns > 3:
+                if len(made[0].learnt) > MAX_AMBIGUOUS:  # bounds a worker's memory
+                    made[0] = cf.Normaliser(shared.value)
+                for hints in batch.column(3).to_pylist():
+                    made[0].learn((h["word"], h["n"]) for h in hints or ())
             done = [made[0].value(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.bool_())],
+                [*batch.columns[:3], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.bool_())],
                 names=["seq", "field_name", "value", "form", "disguised"],
             )
 
     looked = cells.filter(F.col("value").rlike(cf.LOOK))
+    if twins is not None:
+        looked = hinted(looked, twins)
     return looked.mapInArrow(run, "seq long, field_name string, value string, form string, disguised boolean")
 
 

@@ -78,6 +78,16 @@ def test_table(spark):
     assert consistent(df.limit(0)).count() == 0
 
 
+def test_many_ambiguous_words_are_joined(spark, monkeypatch):
+    from adlens.llm import p5
+
+    rows = [(i, t, None) for i, t in enumerate(["анна", "Анна тут", "AHHA", "кот кот", "зовут KOT и AHHA", "POP рынок", "POP", "воск BOX", "мел"])]
+    df = spark.createDataFrame(rows * 2, "seq long, text string, advertiser string")
+    want = sorted(tuple(r) for r in consistent(df).collect())
+    monkeypatch.setattr(p5, "MAX_AMBIGUOUS", 0)
+    assert sorted(tuple(r) for r in consistent(df).collect()) == want and any(r[4] for r in want)
+
+
 def test_every_pair_of_twins_is_mutual():
     for g in cf.LOOKALIKES:
         for a, b in itertools.permutations(g, 2):
