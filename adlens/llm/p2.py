@@ -15,7 +15,7 @@ from adlens.session import table
 BATCH = 2_000
 
 
-def tagged(texts: DataFrame, labelled_rows: int = 1200) -> DataFrame:
+def tagged(texts: DataFrame, labelled_rows: int = 1500) -> DataFrame:
     """(seq, redacted, found: array of (kind, value)) of rows (seq, text).
 
     The model is trained on the driver from `labelled_rows` made texts and broadcast (some

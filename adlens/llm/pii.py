@@ -8,7 +8,7 @@ from functools import lru_cache
 
 from adlens.llm.charforms import plain_map
 from adlens.llm.crf import Chain
-from adlens.llm.pii_table import labelled
+from adlens.llm.pii_table import GIVEN, labelled
 
 KINDS = ("phone", "email", "id_number", "address", "name")
 PLACEHOLDER = {"phone": "[PHONE]", "email": "[EMAIL]", "id_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
@@ -58,6 +58,8 @@ def atoms(token: str) -> list[str]:
     out = ["s:" + shape(token), "g:" + token[: len(token) - len(w)]]  # the length stays
     if w.isalpha():
         out += ["w:" + low, "e3:" + low[-3:], "e2:" + low[-2:], "b4:" + low[:4], "c:" + ("A" if w.isupper() else "Aa" if w[0].isupper() else "a")]
+        if low in GIVEN:
+            out.append("given")
     elif any(c.isdigit() for c in w):
         out += ["n:" + str(min(13, sum(c.isdigit() for c in w))), "f:" + (w[0] if w[0].isdigit() else "x"), "x:" + re.sub(r"\d+", "9", low)[:8]]
     else:
@@ -66,7 +68,7 @@ def atoms(token: str) -> list[str]:
 
 
 @lru_cache(maxsize=4)
-def trained(rows: int = 1200, seed: int = 11, epochs: int = 14) -> Chain:
+def trained(rows: int = 1500, seed: int = 11, epochs: int = 16) -> Chain:
     """The model, trained from the labelled table of `rows` texts."""
     texts, tags = [], []
     for pieces in labelled(rows, seed):

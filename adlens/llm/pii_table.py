@@ -30,6 +30,8 @@ FIRST = (
     "Ильдар Ильдара Ильдару", "Тимур Тимура Тимуру", "Игорь Игоря Игорю", "Глеб Глеба Глебу", "Фёдор Фёдора Фёдору", "Иван Ивана Ивану",
     "Пётр Петра Петру", "Николай Николая Николаю", "Алексей Алексея Алексею", "Дмитрий Дмитрия Дмитрию", "Михаил Михаила Михаилу", "Андрей Андрея Андрею",
 )
+#: All forms of the given names, in lower case.
+GIVEN = frozenset(form.lower() for name in FIRST for form in name.split(" "))
 PATRONYMIC = ("Борисович", "Аркадьевич", "Игоревич", "Антонович", "Тимурович", "Глебович", "Павлович", "Русланович", "Сергеевич", "Фёдорович", "Иванович", "Петрович")
 SURNAME = (
     "Осоргунов", "Дерюжин", "Копыловец", "Тырсанов", "Зимогоров", "Журбаков", "Пшенкин", "Кувшинцев", "Хворостов", "Лядовцев", "Вощанов",
@@ -97,14 +99,14 @@ def _name(r: random.Random) -> list[Piece]:
     pat = r.choice(PATRONYMIC)
     pat = pat[:-2] + "на" if woman else pat
     i, j = base[0], pat[0]
-    kind = r.randrange(9)
+    kind = min(9, r.randrange(12))
     if kind == 0:
         return [("спросить ", "O"), (acc, "name")]
     if kind == 1:
         return [("звонить ", "O"), (dat, "name")]
     if kind == 2:
         return [(base, "name"), (" (" + r.choice(("хозяин", "хозяйка", "собственник")) + ")", "O")]
-    text = (base, f"{base} {pat}", f"{sur} {base} {pat}", f"{i}.{j}. {sur}", f"{sur} {i}. {j}.", f"{base} {sur}", f"{base.upper()} {sur.upper()}")[kind - 2 if kind > 2 else 0]
+    text = (base, f"{base} {pat}", f"{sur} {base} {pat}", f"{i}.{j}. {sur}", f"{sur} {i}. {j}.", f"{base} {sur}", f"{base.upper()} {sur.upper()}")[kind - 3]
     return [(text, "name")]
 
 
@@ -121,7 +123,7 @@ def labelled(rows: int = 700, seed: int = 11) -> list[list[Piece]]:
         if r.random() < 0.9:
             opening = fill(r.choice(OPENINGS))
             parts.append([(opening.upper() if r.random() < 0.1 else opening, "O")])
-        body = [MAKERS[k](r) for k in r.choices(("phone", "email", "id_number", "address", "name"), (5, 2, 2, 3, 3), k=r.randrange(0, 5))]
+        body = [MAKERS[k](r) for k in r.choices(("phone", "email", "id_number", "address", "name"), (5, 2, 2, 3, 5), k=r.randrange(0, 6))]
         body += [[(fill(r.choice(REMARKS)), "O")] for _ in range(r.randrange(0, 5))]
         r.shuffle(body)
         parts += body
