@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,8 +55,7 @@ NAMES: dict[str, tuple[str, ...]] = {
 
 
 def hits(low: Column, words: Sequence[str], weight: int = 1) -> Column:
-    found = F.filter(F.array(*map(F.lit, words)), lambda w: F.contains(low, w))
-    return F.size(found) * weight
+    return reduce(lambda total, w: total + F.contains(low, F.lit(w)).cast("int"), words, F.lit(0)) * weight
 
 
 def keyword_category(text: Column, names: Mapping[str, Sequence[str]] = NAMES, keywords: Mapping[str, Sequence[str]] = KEYWORDS) -> Column:
