@@ -41,13 +41,13 @@ HOST = re.compile(rf"[\w{IGNORABLE}.+-]*@[\w{IGNORABLE}.-]+|[\w{IGNORABLE}-]+(?:
 _IGNORE = re.compile(f"[{IGNORABLE}]")
 _MARK = re.compile(f"[{MARKS}]")
 _SPACE = re.compile(f"[{SPACES}]")
-_TO: dict[str, dict[str, str]] = {"latin": {}, "cyrillic": {}}
+TO: dict[str, dict[str, str]] = {"latin": {}, "cyrillic": {}}
 for _group in LOOKALIKES:
     for _c in _group:
         for _d in _group:
             _name = "latin" if "A" <= _d <= "z" else "cyrillic" if "Ѐ" <= _d <= "ԯ" else ""
             if _name and _c != _d:
-                _TO[_name].setdefault(_c, _d)
+                TO[_name].setdefault(_c, _d)
 #: All letters that a letter may stand for, itself first.
 TWINS: dict[str, str] = {}
 for _group in LOOKALIKES:
@@ -65,13 +65,13 @@ def script(c: str) -> str:
 
 def ambiguous(word: str) -> bool:
     """Every letter has a twin in the other of Latin and Cyrillic."""
-    other = _TO["cyrillic"] if script(word[:1]) == "latin" else _TO["latin"]
+    other = TO["cyrillic"] if script(word[:1]) == "latin" else TO["latin"]
     return bool(word) and all(c in other for c in word)
 
 
 #: Letters of whole words that may be disguised entirely, for Spark's regular expressions.
-AMBIGUOUS_CYRILLIC = "".join(sorted(c for c in _TO["latin"] if script(c) == "cyrillic"))
-AMBIGUOUS_LATIN = "".join(sorted(c for c in _TO["cyrillic"] if script(c) == "latin"))
+AMBIGUOUS_CYRILLIC = "".join(sorted(c for c in TO["latin"] if script(c) == "cyrillic"))
+AMBIGUOUS_LATIN = "".join(sorted(c for c in TO["cyrillic"] if script(c) == "latin"))
 
 
 def by_table(token: str) -> str:
@@ -85,8 +85,8 @@ def by_table(token: str) -> str:
     for c, k in zip(token, kinds):
         if k in all_:
             all_[k] += 1
-            sure[k] += c not in _TO["latin" if k == "cyrillic" else "cyrillic"]
-    if "greek" in used and len(used) == 1 and not all(c in _TO["cyrillic"] or c in _TO["latin"] for c in token):
+            sure[k] += c not in TO["latin" if k == "cyrillic" else "cyrillic"]
+    if "greek" in used and len(used) == 1 and not all(c in TO["cyrillic"] or c in TO["latin"] for c in token):
         return token  # a Greek word
     if sure["latin"] and sure["cyrillic"]:
         to = ""  # both alphabets are certain: only foreign twins of neighbours could be meant
@@ -94,7 +94,7 @@ def by_table(token: str) -> str:
         to = "cyrillic" if sure["cyrillic"] else "latin"
     else:
         to = "latin" if all_["latin"] > all_["cyrillic"] else "cyrillic"
-    table = _TO.get(to, {})
+    table = TO.get(to, {})
     return "".join(table.get(c, c) if k != to else c for c, k in zip(token, kinds))
 
 
@@ -282,4 +282,4 @@ class Normaliser:
             a -= 1
         while b < len(text) and (text[b] == "-" or text[b].isalpha()):
             b += 1
-        return b - a > m.end() - m.start() and any("A" <= c <= "z" and c.isalpha() and c not in _TO["cyrillic"] for c in text[a:b])
+        return b - a > m.end() - m.start() and any("A" <= c <= "z" and c.isalpha() and c not in TO["cyrillic"] for c in text[a:b])

@@ -81,9 +81,10 @@ class Chain:
         rng = np.random.default_rng(seed)
         grid, lengths = self._grid(texts, grow=True)
         n_labels, n_types, n_atoms, n_shapes = len(self.labels), len(self.type), len(self.atom), len(self.shape)
-        bag = np.zeros((n_types, n_atoms), dtype=np.float32)
-        for i, atoms in enumerate(self.type_atoms):
-            bag[i, atoms] = 1
+        # Atoms of all types in one row; every type but the blank has some.
+        flat = np.array([a for atoms in self.type_atoms for a in atoms], dtype=np.int64)
+        counts = np.array([len(a) for a in self.type_atoms])
+        owner, starts = np.repeat(np.arange(n_types), counts), np.concatenate([[0], np.cumsum(counts[1:])[:-1]])
         shapes = np.asarray(self.type_shape)
         at = {label: i for i, label in enumerate(self.labels)}
         gold = np.zeros((len(texts), grid.shape[1] - 4), dtype=np.int64)
@@ -95,19 +96,21 @@ class Chain:
         self.weights = w
         first, second, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
         for _ in range(epochs):
-            order = rng.permutation(len(texts))
-            for a in range(0, len(order), batch):
-                pick = order[a : a + batch]
+            # Batches of like lengths, in a new order and mix each time.
+            order = np.argsort(lengths + rng.uniform(0, 12, len(texts)), kind="stable")
+            parts = [order[a : a + batch] for a in range(0, len(order), batch)]
+            for i in rng.permutation(len(parts)):
+                pick = parts[i]
                 width = int(lengths[pick].max())
                 g, y = grid[pick][:, : width + 4], gold[pick][:, :width]
-                tables = [bag @ w[f"atoms{k}"] for k in range(len(OFFSETS))]
+                tables = [np.concatenate([np.zeros((1, n_labels), np.float32), np.add.reduceat(w[f"atoms{k}"][flat], starts)]) for k in range(len(OFFSETS))]
                 delta, move, start = self._gradient(self._emission(g, tables), lengths[pick], y)
                 grad = {"move": move, "start": start}
                 for k, o in enumerate(OFFSETS):
                     by_type = np.zeros((n_types, n_labels), dtype=np.float32)
                     np.add.at(by_type, g[:, 2 + o : 2 + o + width], delta)
-                    by_type[0] = 0
-                    grad[f"atoms{k}"] = bag.T @ by_type
+                    spread = by_type[owner]
+                    grad[f"atoms{k}"] = np.stack([np.bincount(flat, spread[:, c], n_atoms) for c in range(n_labels)], axis=1).astype(np.float32)
                 s = shapes[g]
                 for k, o in (("left", 1), ("right", 2)):
                     grad[k] = np.zeros_like(w[k])

@@ -34,7 +34,7 @@ def word_counts(cells: DataFrame) -> DataFrame:
 
 
 LATIN = "abcehijkmopstxy"
-CYRILLIC = "".join({"b": "в", "h": "н", "k": "к", "m": "м", "t": "т"}.get(c) or cf._TO["cyrillic"][c] for c in LATIN)
+CYRILLIC = "".join({"b": "в", "h": "н", "k": "к", "m": "м", "t": "т"}.get(c) or cf.TO["cyrillic"][c] for c in LATIN)
 
 
 def spellings(cells: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None]:

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from functools import lru_cache
 
-from adlens.llm.charforms import plain_map
+from adlens.llm.charforms import TO, ambiguous, plain_map
 from adlens.llm.crf import Chain
 from adlens.llm.pii_table import GIVEN, labelled
 
@@ -34,14 +34,18 @@ def tokens(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     return out, places
 
 
-def _read_digits(w: str) -> str:
-    """A run of digits with letters misread for digits becomes digits."""
-    return w.translate(DIGITS) if MISREAD.fullmatch(w) and any(c.isdigit() for c in w) else w
+def _meant(w: str) -> str:
+    """Digits where letters were misread in a run of digits; a given name all in look-alike letters."""
+    if MISREAD.fullmatch(w) and any(c.isdigit() for c in w):
+        return w.translate(DIGITS)
+    if w.isascii() and ambiguous(w) and (name := "".join(TO["cyrillic"][c] for c in w)).lower() in GIVEN:
+        return name
+    return w
 
 
 def shape(token: str) -> str:
     gap = token[: len(token) - len(token.lstrip())]
-    w = _read_digits(token[len(gap) :])
+    w = _meant(token[len(gap) :])
     if w.isdigit():
         return f"{gap and '_'}9{min(len(w), 13)}"
     if w.isalpha():
@@ -53,7 +57,7 @@ def shape(token: str) -> str:
 
 
 def atoms(token: str) -> list[str]:
-    w = _read_digits(token.lstrip())
+    w = _meant(token.lstrip())
     low = w.lower()
     out = ["s:" + shape(token), "g:" + token[: len(token) - len(w)]]  # the length stays
     if w.isalpha():
