@@ -72,14 +72,18 @@ def duplicate_edges(rows: DataFrame, radius_m: float = 25.0, phone_radius_m: flo
         geo.sign_lat(F.col("lat"), F.col("bearing_deg"), assumed_m).alias("y"),
     )
     near = pairs_within(placed, "seq", F.col("x"), F.col("y"), F.col("seq"), radius_m).toDF("earlier", "later")
-    # A phone key is cut by a coarse grid, so a nationwide number is no hot key.
+    # A phone key is cut by a coarse grid, so a nationwide number is no hot key. Columns of a
+    # row are as wide as the radius on the row's most polar edge.
     step = phone_radius_m * 1.001 / geo.METRES_PER_DEGREE
-    cells = placed.withColumn("phone", F.explode("phones")).select("seq", "phone", "x", "y", F.floor(F.col("y") / step).alias("row"))
-    wide = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    later = cells.select(F.col("seq").alias("later"), "phone", F.col("x").alias("lx"), F.col("y").alias("ly"), (F.col("row")).alias("row"))
-    earlier = cells.withColumn("shift", wide).select(F.col("seq").alias("earlier"), "phone", F.col("x").alias("ex"), F.col("y").alias("ey"), (F.col("row") + F.col("shift")).alias("row"))
+    wide = lambda r: F.lit(step) / F.greatest(F.cos(F.radians(F.least((F.abs(r) + 2) * step, F.lit(89.9)))), F.lit(1e-3))
+    near_by = F.sequence(F.lit(-1), F.lit(1))
+    cells = placed.withColumn("phone", F.explode("phones")).select("seq", "phone", "x", "y")
+    later = cells.select(F.col("seq").alias("later"), "phone", F.col("x").alias("lx"), F.col("y").alias("ly"), F.floor(F.col("y") / step).alias("row"))
+    later = later.withColumn("col", F.floor(F.col("lx") / wide(F.col("row"))))
+    earlier = cells.select(F.col("seq").alias("earlier"), "phone", F.col("x").alias("ex"), F.col("y").alias("ey"), F.explode(F.transform(near_by, lambda i: F.floor(F.col("y") / step) + i)).alias("row"))
+    earlier = earlier.withColumn("col", F.explode(F.transform(near_by, lambda i: F.floor(F.col("ex") / wide(F.col("row"))) + i)))
     d = geo.distance_m(F.col("ex"), F.col("ey"), F.col("lx"), F.col("ly"))
-    called = earlier.join(later, ["phone", "row"]).filter((F.col("earlier") < F.col("later")) & (d <= phone_radius_m)).select("earlier", "later")
+    called = earlier.join(later, ["phone", "row", "col"]).filter((F.col("earlier") < F.col("later")) & (d <= phone_radius_m)).select("earlier", "later")
     pairs = near.unionByName(called).distinct()
     a, b = placed.alias("a"), placed.alias("b")
     full = pairs.join(a, F.col("earlier") == F.col("a.seq")).join(b, F.col("later") == F.col("b.seq"))
@@ -96,16 +100,35 @@ def first_fit_boards(rows: DataFrame, stored: DataFrame | None = None, **radii:
     With `stored` (readings kept before, of smaller seq) the batch is also checked against
     it: equal to one long run when batches come in order. Rows without a position are kept.
     """
+    spots = first_of_spot(rows)
     if stored is None:
-        return rows.join(first_fit(rows, duplicate_edges(rows, **radii)), "seq", "left_semi")
-    both = stored.select("seq", "lon", "lat", "bearing_deg", "phones").unionByName(rows.select("seq", "lon", "lat", "bearing_deg", "phones"))
+        kept = first_fit(spots, duplicate_edges(spots, **radii))
+        return rows.join(kept.unionByName(_unplaced(rows)), "seq", "left_semi")
+    both = stored.select(*SPOT).unionByName(spots.select(*SPOT))
     edges = duplicate_edges(both, **radii).checkpoint()
     old = stored.select(F.col("seq").alias("earlier"))
     known = edges.join(old, "earlier", "left_semi").select(F.col("later").alias("seq")).distinct()
-    new = rows.join(known, "seq", "left_anti").join(stored.select("seq"), "seq", "left_anti")
-    ids = new.select("seq")
-    own = edges.join(ids.withColumnRenamed("seq", "earlier"), "earlier", "left_semi").join(ids.withColumnRenamed("seq", "later"), "later", "left_semi")
-    return new.join(first_fit(new, own), "seq", "left_semi")
+    new = spots.join(known, "seq", "left_anti").join(stored.select("seq"), "seq", "left_anti").select("seq")
+    own = edges.join(new.withColumnRenamed("seq", "earlier"), "earlier", "left_semi").join(new.withColumnRenamed("seq", "later"), "later", "left_semi")
+    return rows.join(first_fit(new, own).unionByName(_unplaced(rows)), "seq", "left_semi")
+
+
+SPOT = ("seq", "lon", "lat", "bearing_deg", "phones")
+
+
+def _unplaced(rows: DataFrame) -> DataFrame:
+    return rows.filter(~geo.valid_position(F.col("lon"), F.col("lat"))).select(F.col("seq").cast("long").alias("seq"))
+
+
+def first_of_spot(rows: DataFrame) -> DataFrame:
+    """The first of readings equal in position, bearing and phones, by a combining aggregate.
+
+    Whatever rejects the first rejects its equals, and if nothing does, the first itself
+    does; so groups of copies need no edges, however large they are.
+    """
+    phones = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce("phones", F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")))
+    placed = rows.filter(geo.valid_position(F.col("lon"), F.col("lat")))
+    return placed.select(*SPOT[:4], phones.alias("phones")).groupBy(*SPOT[1:]).agg(F.min("seq").alias("seq")).select(*SPOT)
 
 
 def spaced(points: DataFrame, metres: float, guards: DataFrame | None = None, max_rounds: int = 1000) -> DataFrame:

@@ -6,10 +6,11 @@ cache is a table keyed by engine and content, joined before any model runs.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,35 @@ def detected(images: DataFrame, make: Callable[[], Callable[[pd.Series], list]],
     return images.mapInPandas(run, schema)
 
 
+def retrying(call: Callable, tries: int = 4, delay: float = 1.0, fatal: Callable[[Exception], bool] = lambda e: False) -> Callable:
+    """The call, tried again after 1, 2, 4... delays; a fatal error ends its use for good."""
+    dead: list[Exception] = []
+
+    def run(*args):
+        if dead:
+            raise dead[0]
+        for i in range(tries):
+            try:
+                return call(*args)
+            except Exception as e:
+                if fatal(e):
+                    dead.append(e)
+                    raise
+                if i == tries - 1:
+                    raise
+                time.sleep(delay * 2**i)
+        raise AssertionError("tries must be positive")
+
+    return run
+
+
+def observed(df: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """The table, counting rows and conditions as they pass by: no extra job, no accumulator."""
+    seen = Observation(name)
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in conditions.items()]]
+    return df.observe(seen, *counts), seen
+
+
 def fixed_regions(images: DataFrame, regions: list[tuple[float, float, float, float]], label: str = "banner") -> DataFrame:
     """The same boxes for every row, score 1."""
     boxes = F.array(*[F.struct(F.lit(i).alias("idx"), *[F.lit(float(v)).alias(k) for k, v in zip(("fx0", "fy0", "fx1", "fy1"), r)]) for i, r in enumerate(regions)])

@@ -128,7 +128,7 @@ def q_link_parameter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT engine, count(*) AS n, count(j) AS parsed, sum(CAST(j->>'$.input_tokens' AS BIGINT)) AS input_tokens, sum(CAST(j->>'$.output_tokens' AS BIGINT)) AS output_tokens
+    """SELECT engine, count(*) AS n, count(j) AS parsed, CAST(sum(CAST(j->>'$.input_tokens' AS BIGINT)) AS BIGINT) AS input_tokens, CAST(sum(CAST(j->>'$.output_tokens' AS BIGINT)) AS BIGINT) AS output_tokens
 FROM (SELECT engine, CASE WHEN json_valid(usage) THEN CAST(usage AS JSON) END AS j FROM ocr_cache) GROUP BY engine"""
 )
 def q_usage(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +138,7 @@ def q_usage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("SELECT event_type, count(*) AS n, sum(CAST(props->>'$.k' AS BIGINT)) AS k FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS n, CAST(sum(CAST(props->>'$.k' AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY event_type")
 def q_json_field(spark: SparkSession, sf: str) -> DataFrame:
     k = F.from_json("props", "k bigint")["k"]
     return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("k"))

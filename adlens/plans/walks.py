@@ -110,5 +110,6 @@ def q_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     boxes_ = candidates(detections, panoramas).withColumn("seq", F.xxhash64("panoid", "idx", "fx0"))
     read = table(spark, sf, "banners").groupBy("panoid").agg(F.min_by(F.struct("text", "advertiser", "category", "construction", "is_realty", "developer", "complex_name", "offer_type", "advertiser_type", F.col("ocr_engine").alias("engine")), "seq").alias("r"))
     readings = read.select("panoid", F.lit(0).alias("idx"), "r.*")
-    rows = assembled(boxes_, readings, Directory.from_table(table(spark, sf, "brands")))
+    shared_dir(spark)
+    rows = assembled(boxes_, readings, Directory.from_table(table(spark, sf, "brands"))).checkpoint()  # read several times
     return accepted(rows).select("banner_id", "panoid", "category", "brand", "brand_matched", F.array_join("phones", ", ").alias("phones"), F.round("bearing_deg", 4).alias("bearing_deg"))

@@ -60,6 +60,13 @@ def test_batches_against_a_store_equal_one_run_and_idempotent(spark):
     assert first_fit_boards(a, first).count() == 0
 
 
+def test_copies_of_a_spot_make_no_edges(spark):
+    rows = random_rows(random.Random(12), 60)
+    rows += [(1000 + i, *rows[5][1:]) for i in range(400)] + [(2000, None, None, None, ["1"]), (2001, None, None, None, ["1"])]
+    got = {x.seq for x in first_fit_boards(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == sequential(rows[:-2]) | {2000, 2001}
+
+
 def test_chain_keeps_both_ends_and_empty(spark):
     nodes = spark.createDataFrame([(1,), (2,), (3,), (None,)], "seq long")
     edges = spark.createDataFrame([(1, 2), (2, 3)], "earlier long, later long")

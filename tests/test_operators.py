@@ -173,3 +173,22 @@ def test_detector_slot_and_regions(spark):
 @pytest.mark.parametrize("w,h,want", [(880, 100, 0.5), (100, 800, 0.25), (10, 10, 1.0)])
 def test_fit_scale(spark, w, h, want):
     assert spark.range(1).select(images.fit_scale(F.lit(w), F.lit(h)).alias("s")).first().s == want
+
+
+def test_retries_and_observation(spark):
+    calls = []
+
+    def call(x):
+        calls.append(x)
+        if len(calls) < 3:
+            raise ValueError
+        return x
+
+    assert recognition.retrying(call, delay=0.0)(7) == 7 and len(calls) == 3
+    bad = recognition.retrying(lambda: 1 / 0, delay=0.0, fatal=lambda e: isinstance(e, ZeroDivisionError))
+    for _ in range(2):
+        with pytest.raises(ZeroDivisionError):
+            bad()
+    df, seen = recognition.observed(spark.range(10), "passing", even=F.col("id") % 2 == 0)
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 10, "even": 5}
