@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm.pii import redact, spans, trained
-from adlens.session import table
+from adlens.session import spread, table
 
 #: Texts tagged at once by a worker.
 BATCH = 2_000
@@ -41,7 +41,7 @@ def tagged(texts: DataFrame, labelled_rows: int = 1500) -> DataFrame:
                 )
 
     cells = texts.select(F.col("seq").cast("long"), F.col("text")).filter("text is not null")
-    return cells.mapInArrow(run, "seq long, redacted string, found array<struct<kind: string, value: string>>")
+    return spread(cells).mapInArrow(run, "seq long, redacted string, found array<struct<kind: string, value: string>>")
 
 
 def private_ads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm.mapping import directory, normal
-from adlens.session import table
+from adlens.session import spread, table
 
 FIELDS = ("advertiser", "brand", "complex_name")
 #: The directory is an index in every worker; a longer list doesn't belong there.
@@ -58,7 +58,7 @@ def mapped(banners: DataFrame, brands: DataFrame, strict: bool = True) -> DataFr
         return F.struct(F.lit(f).alias("field_name"), F.when(ok & ~c.isin(exact) if strict and exact else ok, c).alias("value"))
 
     cells = banners.select("seq", F.explode(F.array(*map(cell, FIELDS))).alias("v")).select("seq", "v.field_name", "v.value").filter("value is not null")
-    return cells.mapInArrow(run, "seq long, field_name string, value string, canon string")
+    return spread(cells).mapInArrow(run, "seq long, field_name string, value string, canon string")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm import charforms as cf
-from adlens.session import table
+from adlens.session import spread, table
 
 FIELDS = ("text", "advertiser")
 #: Canonical words that the trie holds besides the fully ambiguous ones.
@@ -74,7 +74,7 @@ def consistent(banners: DataFrame) -> DataFrame:
     consistent form already. Nulls have no row, empty values and those of any length are
     handled whole, repeated rows keep their own seq, an empty table gives no rows.
     """
-    cells = values(banners)
+    cells = values(spread(banners.select("seq", *FIELDS)))
     words, twins = spellings(cells)
     shared = banners.sparkSession.sparkContext.broadcast(words)
     made: list[cf.Normaliser] = []
