@@ -25,29 +25,24 @@ def first_fit(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> Dat
     """
     shared_dir(nodes.sparkSession)
     ids = nodes.select(F.col("seq").cast("long").alias("seq")).filter("seq is not null").distinct()
-    live = edges.select("earlier", "later").distinct().checkpoint()
-    # Rows without any earlier neighbour are kept at once and never join a round again.
-    state = live.select(F.col("later").alias("seq")).distinct()
-    kept = ids.join(state, "seq", "left_anti").checkpoint()
-    fresh, undecided = kept, state.join(ids, "seq", "left_semi").checkpoint()
-    parts = [kept]
+    edges = edges.select("earlier", "later").distinct().checkpoint()
+    # Only rows with an earlier neighbour need a state; all others are kept at once.
+    bound = edges.select(F.col("later").alias("seq")).distinct()
+    roots = ids.join(bound, "seq", "left_anti")
+    state = bound.join(ids, "seq", "left_semi").select("seq", F.lit(None).cast("boolean").alias("kept")).checkpoint()
     for _ in range(max_rounds):
-        if undecided.isEmpty():
+        open_ = state.filter("kept is null").select(F.col("seq").alias("later"))
+        if open_.isEmpty():
             break
-        rejected = live.join(fresh.withColumnRenamed("seq", "earlier"), "earlier", "left_semi").select(F.col("later").alias("seq")).distinct()
-        undecided = undecided.join(rejected, "seq", "left_anti")
-        # Only edges between undecided rows can still matter.
-        live = live.join(undecided.withColumnRenamed("seq", "earlier"), "earlier", "left_semi").join(undecided.withColumnRenamed("seq", "later"), "later", "left_semi")
-        live = live.checkpoint()
-        fresh = undecided.join(live.select(F.col("later").alias("seq")).distinct(), "seq", "left_anti").checkpoint()
-        undecided = undecided.join(fresh, "seq", "left_anti").checkpoint()
-        parts.append(fresh)
+        before = state.select(F.col("seq").alias("earlier"), F.lit(True).alias("bound"), "kept")
+        told = edges.join(open_, "later", "left_semi").join(before, "earlier", "left")
+        kept = F.when(F.col("bound").isNull(), True).otherwise(F.col("kept"))
+        told = told.groupBy(F.col("later").alias("seq")).agg(F.max(F.when(kept, True)).alias("blocked"), F.max(F.when(kept.isNull(), True)).alias("waits"))
+        decided = F.when(F.col("blocked"), False).when(F.col("waits").isNull() & F.col("kept").isNull(), True)
+        state = state.join(told, "seq", "left").select("seq", F.coalesce("kept", decided).alias("kept")).checkpoint()
     else:
         raise RuntimeError("conflict chains are longer than max_rounds")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return roots.unionByName(state.filter("kept").select("seq"))
 
 
 def _in_search_box(a_lon: Column, a_lat: Column, lon: Column, lat: Column, reach: float) -> Column:
@@ -100,7 +95,8 @@ def first_fit_boards(rows: DataFrame, stored: DataFrame | None = None, **radii:
     With `stored` (readings kept before, of smaller seq) the batch is also checked against
     it: equal to one long run when batches come in order. Rows without a position are kept.
     """
-    spots = first_of_spot(rows)
+    shared_dir(rows.sparkSession)
+    spots = first_of_spot(rows).checkpoint()  # read by every part of the edge join
     if stored is None:
         kept = first_fit(spots, duplicate_edges(spots, **radii))
         return rows.join(kept.unionByName(_unplaced(rows)), "seq", "left_semi")

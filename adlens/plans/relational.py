@@ -9,7 +9,7 @@ from adlens.functions import boxes, geo
 from adlens.operators import ranking, recognition, state
 from adlens.operators.dictionary import Directory
 from adlens.plans.export import presentation, realty
-from adlens.session import table
+from adlens.session import spread, table
 from adlens.sources import metadata, seeds
 
 QUERIES: dict = {}
@@ -141,7 +141,7 @@ FROM banners b JOIN h ON b.advertiser IS NOT DISTINCT FROM h.advertiser AND b.co
 @query(_LOOKUP)
 def q_brand_lookup(spark: SparkSession, sf: str) -> DataFrame:
     d = Directory.from_table(table(spark, sf, "brands"))
-    b = table(spark, sf, "banners").select("seq", d.lookup(F.col("advertiser"), F.col("complex_name")).alias("b"))
+    b = spread(table(spark, sf, "banners").select("seq", "advertiser", "complex_name")).select("seq", d.lookup(F.col("advertiser"), F.col("complex_name")).alias("b"))
     return b.select("seq", "b.canonical", "b.matched", "b.complex_name")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions import boxes, contacts, geo, scoring, text
 from adlens.operators.images import gray_stats
-from adlens.session import table
+from adlens.session import spread, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -39,7 +39,7 @@ FROM (SELECT seq, low, {", ".join(hits)} FROM (SELECT seq, {low} AS low FROM ban
 
 @query(_category_sql("text"))
 def q_keyword_category(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "banners").select("seq", scoring.keyword_category(F.col("text")).alias("category"))
+    return spread(table(spark, sf, "banners").select("seq", "text")).select("seq", scoring.keyword_category(F.col("text")).alias("category"))
 
 
 # Text with every sign doubled, so that a match may begin right after another.
@@ -74,7 +74,7 @@ def _joined(c):
   array_to_string(s, ', ') AS sites, array_to_string(h, ', ') AS telegram FROM kinds"""
 )
 def q_contacts(spark: SparkSession, sf: str) -> DataFrame:
-    found = table(spark, sf, "banners").select("seq", contacts.contacts(F.col("text")).alias("c"))
+    found = spread(table(spark, sf, "banners").select("seq", "text")).select("seq", contacts.contacts(F.col("text")).alias("c"))
     return found.select("seq", *[_joined(F.col(f"c.{k}")).alias(k) for k in ("phones", "phones_unreliable", "sites", "telegram")])
 
 
@@ -111,7 +111,7 @@ FROM c JOIN kinds USING (seq) GROUP BY c.category"""
 def q_category_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Advertisements by category after contact extraction and classification."""
     t = F.col("text")
-    rows = table(spark, sf, "banners").select(
+    rows = spread(table(spark, sf, "banners").select("text")).select(
         scoring.keyword_category(t).alias("category"), (F.size(contacts.phones(t)) > 0).alias("p"), (F.size(contacts.sites(t)) > 0).alias("s")
     )
     return rows.groupBy("category").agg(F.count("*").alias("n"), F.count_if("p").alias("with_phone"), F.count_if("s").alias("with_site"))
@@ -420,5 +420,5 @@ SELECT ocr_engine, count(*) AS n, round(avg(CASE WHEN len(ws) > 0 THEN len(list_
 )
 def q_word_recall(spark: SparkSession, sf: str) -> DataFrame:
     got = F.left(F.coalesce("text", F.lit("")), F.lit(60))
-    b = table(spark, sf, "banners").select("ocr_engine", scoring.word_recall(F.col("text"), got).alias("r"), scoring.answer_matches(F.col("advertiser"), got).alias("m"))
+    b = spread(table(spark, sf, "banners").select("ocr_engine", "text", "advertiser")).select("ocr_engine", scoring.word_recall(F.col("text"), got).alias("r"), scoring.answer_matches(F.col("advertiser"), got).alias("m"))
     return b.groupBy("ocr_engine").agg(F.count("*").alias("n"), F.round(F.avg("r"), 6).alias("recall"), F.round(100 * F.avg(F.col("m").cast("int")), 6).alias("advertiser_ok"))
