@@ -17,6 +17,9 @@ TOKENIZERS = os.environ.get("ADLENS_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: how this vocabulary's texts are cut into words before encoding.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Ids that a batch of results may hold before it is sent off.
+MAX_IDS = 1_000_000
+
 _MADE: dict[str, tuple[Transducer, Decoder]] = {}
 
 
@@ -54,14 +57,16 @@ def encoded(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
         transducer, _ = _machines(path, lambda: shared.value)
         for batch in batches:
             flat: list[int] = []
-            ends = [0]
-            for text in batch.column(1).to_pylist():
-                flat += encode_text(transducer, cut, text)
+            ends, start = [0], 0
+            for row in range(batch.num_rows):
+                flat += encode_text(transducer, cut, batch.column(1)[row].as_py())
                 ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(np.asarray(ends, dtype=np.int32)), pa.array(np.asarray(flat, dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
+                # Long texts leave in smaller batches, within a worker's memory.
+                if len(flat) >= MAX_IDS or row + 1 == batch.num_rows:
+                    ids = pa.ListArray.from_arrays(pa.array(np.asarray(ends, dtype=np.int32)), pa.array(np.asarray(flat, dtype=np.int32)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, row + 1 - start), ids], names=["doc_id", "ids"])
+                    flat, ends, start = [], [0], row + 1
 
-    # Long texts are rare; small batches keep a batch of them within a worker's memory.
     return spread(documents.select("doc_id", "text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 

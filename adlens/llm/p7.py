@@ -14,6 +14,8 @@ from adlens.session import spread, table
 
 #: Passages held by a worker at once; a longer list is searched in blocks of so many.
 BLOCK_ITEMS = 20_000
+#: Texts searched at once by a worker.
+TEXTS = 1_000
 
 
 def leaked(documents: DataFrame, items: DataFrame, share: float = 0.5, block: int = BLOCK_ITEMS) -> DataFrame:
@@ -37,9 +39,11 @@ def leaked(documents: DataFrame, items: DataFrame, share: float = 0.5, block: in
             if not made:
                 made.append(Passages(shared.value, share))
             for batch in batches:
-                found = made[0].leaks(batch.column(1).to_pylist())
-                ids = batch.column(0).to_pylist()
-                pairs = [(d, i) for d, each in zip(ids, found) for i in each]
+                pairs = []
+                for a in range(0, batch.num_rows, TEXTS):
+                    part = batch.slice(a, TEXTS)
+                    found = made[0].leaks(part.column(1).to_pylist())
+                    pairs += [(d, i) for d, each in zip(part.column(0).to_pylist(), found) for i in each]
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["doc_id", "item_id"])
 
         return texts.mapInArrow(run, "doc_id long, item_id long")

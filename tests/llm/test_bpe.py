@@ -74,6 +74,13 @@ def test_utf8_machine_equals_python():
         assert out == data.decode("utf-8", "replace"), data
 
 
+def test_results_leave_in_small_batches(spark, monkeypatch):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").coalesce(1)
+    want = sorted((r.doc_id, r.ids) for r in p6.encoded(df).collect())
+    monkeypatch.setattr(p6, "MAX_IDS", 1)
+    assert sorted((r.doc_id, r.ids) for r in p6.encoded(df).collect()) == want
+
+
 def test_round_trip_of_a_table(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100, None), (101, "слово " * 20000), (100, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as ids")
