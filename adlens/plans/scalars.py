@@ -384,13 +384,15 @@ def q_visual_gate(spark: SparkSession, sf: str) -> DataFrame:
     return _gray(spark, sf).select("vec_id", gate["is_ad"].alias("is_ad"), F.round(full, 2).alias("score"))
 
 
-@query(
-    """WITH v AS (SELECT i AS v, radians(60.0 * i) AS yaw FROM range(6) t(i)),
+_VIEWS = """WITH v AS (SELECT i AS v, radians(60.0 * i) AS yaw FROM range(6) t(i)),
 px AS (SELECT v, x, y, yaw, (x + 0.5 - 8) AS a, -(y + 0.5 - 8) AS b, 8 / tan(radians(45)) AS f FROM v, range(16) tx(x), range(16) ty(y)),
 n AS (SELECT v, x, y, yaw, a / sqrt(a * a + b * b + f * f) AS a, b / sqrt(a * a + b * b + f * f) AS b, f / sqrt(a * a + b * b + f * f) AS f FROM px),
 w AS (SELECT v, x, y, a * cos(yaw) + f * sin(yaw) AS wx, b AS wy, f * cos(yaw) - a * sin(yaw) AS wz FROM n)
-SELECT v, x, y, round(((atan2(wx, wz) / (2 * pi())) % 1 + 1) % 1, 6) AS fx, round(0.5 - asin(wy) / pi(), 6) AS fy FROM w"""
-)
+"""
+_FX, _FY = "((atan2(wx, wz) / (2 * pi())) % 1 + 1) % 1", "0.5 - asin(wy) / pi()"
+
+
+@query(_VIEWS + f"SELECT v, x, y, round({_FX}, 6) AS fx, round({_FY}, 6) AS fy FROM w")
 def q_view_map(spark: SparkSession, sf: str) -> DataFrame:
     """Panorama fractions seen by the pixels of six views, one row per pixel."""
     from adlens.operators.images import view_map, yaws
@@ -407,6 +409,32 @@ def q_view_map(spark: SparkSession, sf: str) -> DataFrame:
     return spark.range(6).select(F.col("id").alias("v")).mapInPandas(run, "v long, x long, y long, fx double, fy double")
 
 
+@query(
+    _VIEWS
+    + f""", b AS (SELECT v, s AS size, min({_FX}) AS x0, min({_FY}) AS y0, max({_FX}) AS x1, max({_FY}) AS y1 FROM w, (VALUES (2), (5), (9)) t(s)
+  WHERE x >= 3 AND x < 3 + s AND y >= 4 AND y < 4 + s GROUP BY v, s)
+SELECT v, size, CASE WHEN x1 - x0 <= 0.5 THEN round(x0, 6) END AS fx0, CASE WHEN x1 - x0 <= 0.5 THEN round(y0, 6) END AS fy0,
+  CASE WHEN x1 - x0 <= 0.5 THEN round(x1, 6) END AS fx1, CASE WHEN x1 - x0 <= 0.5 THEN round(y1, 6) END AS fy1 FROM b"""
+)
+def q_box_in_panorama(spark: SparkSession, sf: str) -> DataFrame:
+    """Panorama boxes of boxes seen in six views; null where they cross the seam."""
+    from adlens.operators.images import box_in_panorama, view_map, yaws
+
+    def run(batches):
+        import pandas as pd
+
+        for df in batches:
+            rows = []
+            for v, size in zip(df.v, df["size"]):
+                uv = view_map(512, 256, yaws()[v], 0.0, 90.0, 16, 16)
+                box = box_in_panorama(uv, 3, 4, 3 + size, 4 + size) or (None,) * 4
+                rows.append((v, size, *[None if b is None else round(b, 6) for b in box]))
+            yield pd.DataFrame(rows, columns=["v", "size", "fx0", "fy0", "fx1", "fy1"])
+
+    asked = spark.range(6).select(F.col("id").alias("v"), F.explode(F.array(F.lit(2), F.lit(5), F.lit(9))).alias("size"))
+    return asked.mapInPandas(run, "v long, size int, fx0 double, fy0 double, fx1 double, fy1 double")
+
+
 # --- evaluation of readings --------------------------------------------------------------
 
 
