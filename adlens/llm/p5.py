@@ -50,7 +50,8 @@ def spellings(cells: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None
         .agg(F.max(F.struct("n", "word")).alias("best"))
         .select("shape", "best.word", "best.n")
     )
-    words = counts.filter("n >= 2").filter(~F.col("word").rlike(both)).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    # Merged by a task, not by the driver, which would get every partition's share.
+    words = counts.filter("n >= 2").filter(~F.col("word").rlike(both)).orderBy(F.desc("n"), "word").limit(VOCABULARY).repartition(1).collect()
     known = twins.limit(MAX_AMBIGUOUS + 1).collect()
     if len(known) > MAX_AMBIGUOUS:
         return [(r.word, r.n) for r in words], twins
