@@ -163,7 +163,8 @@ def board_pairs(banners: DataFrame, radius_m: float = 25.0, reach_m: float = 25.
     A board stands `reach_m` from its camera along the bearing. Positions that are null,
     (0, 0) or off the globe have none; a null bearing leaves the board at its camera.
     """
-    placed = banners.filter(geo.valid_position(F.col("lon"), F.col("lat")))
+    # The plain ranges reach the scan, where files and row groups off the globe are skipped.
+    placed = banners.filter("lon between -180 and 180 and lat between -90 and 90").filter(geo.valid_position(F.col("lon"), F.col("lat")))
     bearing = F.when(F.isnan("bearing_deg"), None).otherwise(F.col("bearing_deg"))
     return pairs_within(
         placed,

@@ -96,3 +96,26 @@ def test_spacing_equals_the_sequential_loop(spark):
     assert {x.seq for x in spaced(df, 75.0, guards).collect()} == spacing([(-1, *points[3][1:]), *points], 75.0).keys() - {-1}
     assert spaced(df.limit(0), 75.0).count() == 0
     assert df.filter(F.lit(True)).count() == 150
+
+
+def kept(spark, rows, **radii):
+    return {x.seq for x in first_fit_boards(spark.createDataFrame(rows, SCHEMA), **radii).collect()}
+
+
+def east(metres, lat=45.0):
+    return 38.0 + metres / (111320 * math.cos(math.radians(lat)))
+
+
+def test_boundaries_of_the_duplicate_rule(spark):
+    one = (1, 38.0, 45.0, 0.0, None)
+    assert kept(spark, [one, (2, 38.0, 45.0, 59.0, None)]) == {1}  # one camera, boards 24.6 m apart
+    assert kept(spark, [one, (2, 38.0, 45.0, 61.0, None)]) == {1, 2}
+    call = (1, 38.0, 45.0, None, ["5"])
+    assert kept(spark, [call, (2, east(299), 45.0, None, ["5", "6"])]) == {1}
+    assert kept(spark, [call, (2, east(301), 45.0, None, ["5"])]) == {1, 2}
+    assert kept(spark, [call, (2, east(20), 45.0, None, ["7"])]) == {1}
+    assert kept(spark, [call, (2, east(20), 45.0, None, ["5"])], phone_radius_m=10.0) == {1, 2}  # same phone, but too far for it
+    # Boards 290 m apart, but the cameras that face each other are 340 m apart: outside the search box.
+    assert kept(spark, [(1, 38.0, 45.0, 90.0, ["5"]), (2, east(340), 45.0, 270.0, ["5"])]) == {1, 2}
+    # A and B, B and C are duplicates, A and C are not: A and C stay.
+    assert kept(spark, [(1, 38.0, 45.0, None, None), (2, east(20), 45.0, None, None), (3, east(40), 45.0, None, None)]) == {1, 3}
