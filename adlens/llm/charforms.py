@@ -214,10 +214,15 @@ def plain(text: str) -> str:
 
 
 class Normaliser:
-    """Whole values: is one disguised, and what is its consistent form."""
+    """Whole values: is one disguised, and what is its consistent form.
 
-    def __init__(self, words: Iterable[tuple[str, int]]):
+    With `compared`, the words hold the more frequent of every two whole-word twins, which then
+    decides on short Latin words too; without, these need something that speaks for Cyrillic.
+    """
+
+    def __init__(self, words: Iterable[tuple[str, int]], compared: bool = False):
         self.trie = SpellingTrie(words)
+        self.compared = compared
         self.tokens: dict[str, str] = {}
         self.learnt: set[str] = set()
 
@@ -265,7 +270,7 @@ class Normaliser:
                     hosts = [h.span() for h in HOST.finditer(out) if h.group().isascii() and _LABEL.search(h.group())]
                 if any(a <= m.start() and m.end() <= b for a, b in hosts) or self._hyphened(out, m):
                     continue
-                if len(w) <= 3 and not _CYRILLIC.search(out):
+                if not self.compared and len(w) <= 3 and not _CYRILLIC.search(out):
                     continue  # a few Latin letters alone, with nothing that speaks for Cyrillic
             fixed = self.token(w)
             if fixed != w:

@@ -82,11 +82,11 @@ def consistent(banners: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
-            made.append(cf.Normaliser(shared.value))
+            made.append(cf.Normaliser(shared.value, compared=True))
         for batch in batches:
             if batch.num_columns > 3:
                 if len(made[0].learnt) > MAX_AMBIGUOUS:  # bounds a worker's memory
-                    made[0] = cf.Normaliser(shared.value)
+                    made[0] = cf.Normaliser(shared.value, compared=True)
                 for hints in batch.column(3).to_pylist():
                     made[0].learn((h["word"], h["n"]) for h in hints or ())
             done = [made[0].value(t) for t in batch.column(2).to_pylist()]

@@ -88,6 +88,16 @@ def test_many_ambiguous_words_are_joined(spark, monkeypatch):
     assert sorted(tuple(r) for r in consistent(df).collect()) == want and any(r[4] for r in want)
 
 
+def test_short_latin_words_are_decided_by_their_twins(spark, monkeypatch):
+    from adlens.llm import p5
+
+    rows = [(i, t, None) for i, t in enumerate(["ооо", "ООО", "ооо", "ooo", "OOO", "pop", "POP", "рор", "ok", "e-mail", "op@box.org", "на"])]
+    df = spark.createDataFrame(rows, "seq long, text string, advertiser string")
+    for most in (p5.MAX_AMBIGUOUS, 0):  # broadcast, joined
+        monkeypatch.setattr(p5, "MAX_AMBIGUOUS", most)
+        assert sorted((r.seq, r.form) for r in consistent(df).filter("disguised").collect()) == [(3, "ооо"), (4, "ООО")]
+
+
 def test_every_pair_of_twins_is_mutual():
     for g in cf.LOOKALIKES:
         for a, b in itertools.permutations(g, 2):
