@@ -97,10 +97,10 @@ def q_walk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_crawl(spark: SparkSession, sf: str) -> DataFrame:
-    """The resumable crawl from its start to an empty frontier; state in the shared folder."""
+    """The resumable crawl from its start and on until the whole table is visited; state in the shared folder."""
     path = f"{shared_dir(spark)}/crawl-{uuid.uuid4().hex}"
-    rules = CrawlRules(bbox=BOX, spacing_m=75.0, max_failures=30)
-    return Crawl(spark, path, rules).run(table(spark, sf, "panoramas"), *START).select("panoid", "seq", "level")
+    rules = CrawlRules(spacing_m=75.0, max_failures=30)
+    return Crawl(spark, path, rules).run_all(table(spark, sf, "panoramas"), *START).select("panoid", "seq", "level")
 
 
 @query()

@@ -106,6 +106,33 @@ class Crawl:
         self._write(new.withColumn("level", F.lit(1)), "frontier", 0)
         return self._commit(0, -1, new.count(), 0, "")
 
+    def run_all(self, panoramas: DataFrame, lon: float, lat: float) -> DataFrame:
+        """Processed panoramas (panoid, seq, level) once every usable panorama of the box was visited.
+
+        When the frontier is empty, the panoramas left that no link from an earlier one of
+        them leads to are asked next, at level 0: every other one left is reached from these.
+        Failures in a row don't end it, `max_processed` does.
+        """
+        while True:
+            rows = self.run(panoramas, lon, lat)
+            last = self.last()
+            if last.reason == "limit" or last.reason == "frontier empty" and not self._seed(usable(panoramas), last, lon, lat):
+                return rows
+
+    def _seed(self, meta: DataFrame, last: T.Row, lon: float, lat: float) -> int:
+        """Puts starts for what is left into the frontier, the nearest to (lon, lat) first; their number."""
+        left = meta.filter(geo.in_bbox(F.col("lon"), F.col("lat"), self.rules.bbox)).join(self.table("visited"), "panoid", "left_anti").checkpoint()
+        links = left.select(F.col("panoid").alias("from"), F.explode("neighbor_oids").alias("oid"))
+        later = links.join(left.select("oid", "panoid"), "oid").filter(F.col("from") < F.col("panoid")).select("panoid").distinct()
+        metres = F.coalesce(geo.distance_m(F.col("lon"), F.col("lat"), F.lit(lon), F.lit(lat)), F.lit(float("inf")))
+        new = left.join(later, "panoid", "left_anti").select("panoid", "oid", F.struct(metres, "panoid", "oid").alias("order"))
+        new = first_of_key(new, ["panoid"], "order").checkpoint()
+        n = new.count()
+        if n:
+            self._write(numbered(new, ["oid"], "order", "seq", last.next_seq, rows_known=n).withColumn("level", F.lit(0)), "frontier", last.step + 1)
+            self._commit(last.step + 1, last.done_seq, last.next_seq + n, last.processed, "")
+        return n
+
     # -- one task ---------------------------------------------------------------------
 
     def _local(self, meta: DataFrame, last: T.Row) -> T.Row:

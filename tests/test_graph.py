@@ -60,6 +60,26 @@ def test_crawl_continues_where_it_stopped(spark, tmp_path):
         assert {(r.panoid, r.seq) for r in rows.collect()} == want
 
 
+def test_crawl_of_the_whole_table(spark, tmp_path):
+    for seed in range(2):
+        df = spark.createDataFrame(graph(seed), SCHEMA)
+        got = []
+        for name, local in (("one", 10**6), ("levels", 0)):
+            c = Crawl(spark, f"{tmp_path}/{seed}-{name}", CrawlRules(None, 150.0, 2), local)
+            got.append(({tuple(r) for r in c.run_all(df, 38.0, 45.0).collect()}, sorted(tuple(r) for r in c.table("visited").collect())))
+        assert got[0] == got[1]
+        assert [v[0] for v in got[0][1]] == sorted({r[1] for r in graph(seed) if r[2] == "success"})
+
+
+def test_crawl_query_leaves_no_component(spark, tmp_path):
+    from adlens.plans.walks import q_crawl
+
+    far = [("c", "C", "success", 37.0, 44.5, 1, ["d"]), ("d", "D", "success", 37.01, 44.5, 1, ["c", "x"]), ("e", "E", "success", 38.9, 45.7, 1, [])]
+    rows = [("a", "A", "success", 38.0, 45.0, 1, ["b"]), ("b", "B", "success", 38.01, 45.0, 1, ["a"]), ("f", "F", "error", 38.0, 45.1, 1, []), *far]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/panoramas.parquet")
+    assert {r.panoid: r.level for r in q_crawl(spark, str(tmp_path)).collect()} == {"A": 0, "B": 1, "C": 0, "D": 1, "E": 0}
+
+
 def test_queue_model(spark):
     rows = graph(11)
     nodes = {r[0]: r for r in rows if r[2] == "success"}
