@@ -6,13 +6,14 @@ gates below the joins and no reading is looked up for a box that fails them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens import schemas
 from adlens.functions import boxes, contacts, geo, text
 from adlens.operators import ranking, recognition
 from adlens.operators.dictionary import Directory
+from adlens.operators.graph import numbered
 from adlens.operators.greedy import first_fit_boards
 from adlens.sources.config import Settings
 
@@ -43,24 +44,64 @@ def assembled(boxes_: DataFrame, readings: DataFrame, directory: Directory | Non
     Boxes without a reading have empty text. `seq` is free for the caller: it must follow
     the order of arrival.
     """
+    return _rows(boxes_.join(readings, ["panoid", "idx"], "left"), directory, settings)
+
+
+#: What a stored reading brings to its row, and what it says of its own place and board.
+READING = ("text", "advertiser", "category", "construction", "is_realty", "developer", "complex_name", "offer_type", "advertiser_type", "ocr_engine")
+PLACE = ("lon", "lat", "timestamp", "address", "score", "banner_id", "bearing_deg", "crop_image_path")
+
+
+def paired(boxes_: DataFrame, banners: DataFrame) -> DataFrame:
+    """Candidate boxes with all stored readings, and a `seq` in order of arrival.
+
+    The boards of a panorama (banner_id) in order of their first reading meet its boxes in
+    order of idx; every reading of a board is a row of its box. Readings without a box and
+    boxes without a reading are rows too. A reading arrives by its own seq, an unread box
+    just after its panorama's first reading, those of unread panoramas last.
+    """
+    c = F.col
+    of = Window.partitionBy("panoid")
+    b = boxes_.withColumn("place", F.row_number().over(of.orderBy("idx", "fx0")))
+    r = banners.select("panoid", c("seq").alias("arrival"), *READING[:-1], c("ocr_engine").alias("engine"), *[c(k).alias(f"own_{k}") for k in PLACE])
+    r = r.withColumn("first", F.min("arrival").over(Window.partitionBy("panoid", "own_banner_id")))
+    r = r.withColumn("place", F.dense_rank().over(of.orderBy("first", "own_banner_id")))
+    j = b.join(r, ["panoid", "place"], "full")
+    for k in PLACE[:5]:
+        j = j.withColumn(k, F.when(c("idx").isNull(), c(f"own_{k}")).otherwise(c(k)))
+    unread = c("arrival").isNull()
+    came = F.coalesce("arrival", F.min("arrival").over(of), F.lit((1 << 63) - 1))
+    j = j.withColumn("order", F.struct(came.alias("came"), unread.alias("unread"), "panoid", "idx", "fx0"))
+    return numbered(j, [k for k in j.columns if k not in ("order", "arrival", "first", "place")], "order", "seq")
+
+
+def assembled_readings(boxes_: DataFrame, banners: DataFrame, directory: Directory | None = None, settings: Settings | None = None) -> DataFrame:
+    """Banner rows of candidate boxes and all stored readings, as `paired`.
+
+    A reading without a box keeps the board's id, bearing and picture that were stored with it.
+    """
+    return _rows(paired(boxes_, banners), directory, settings)
+
+
+def _rows(j: DataFrame, directory: Directory | None, settings: Settings | None) -> DataFrame:
     s = settings or Settings()
     c = F.col
     none = F.lit(None).cast("string")
-    j = boxes_.join(readings, ["panoid", "idx"], "left")
-    j = j.withColumn("bearing_deg", geo.azimuth((c("fx0") + c("fx1")) / 2, c("azimuth_origin")))
+    own = lambda name, made: F.when(c("idx").isNull(), c(f"own_{name}")).otherwise(made) if f"own_{name}" in j.columns else made
+    j = j.withColumn("bearing_deg", own("bearing_deg", geo.azimuth((c("fx0") + c("fx1")) / 2, c("azimuth_origin"))))
     j = j.withColumn("contact", contacts.demoted(contacts.contacts(c("text")), F.least("crop_w", "crop_h"), s.get("contacts.min_side")))
     found = directory.lookup(c("advertiser"), c("complex_name")) if directory else F.lit(None).cast("struct<canonical: string, matched: boolean, role: string, complex_name: string, site: string, phone: string, category: string>")
     j = j.withColumn("b", found)
     matched = F.coalesce(c("b.matched"), F.lit(False))
     f = recognition.fused(c("category"), c("text"), matched, c("b.canonical"), c("developer"), c("complex_name"), c("b.complex_name"), c("advertiser_type"))
     row = {
-        "seq": c("seq"), "banner_id": text.reading_id(c("panoid"), c("fx0"), c("fy0")), "panoid": c("panoid"), "lon": c("lon"), "lat": c("lat"), "timestamp": c("timestamp"),
+        "seq": c("seq"), "banner_id": own("banner_id", text.reading_id(c("panoid"), c("fx0"), c("fy0"))), "panoid": c("panoid"), "lon": c("lon"), "lat": c("lat"), "timestamp": c("timestamp"),
         "bearing_deg": c("bearing_deg"), "category": f["category"], "phones": c("contact.phones"), "phones_unreliable": c("contact.phones_unreliable"),
         "sites": c("contact.sites"), "telegram": c("contact.telegram"), "text": F.coalesce("text", F.lit("")), "advertiser": c("advertiser"), "brand": c("b.canonical"),
         "brand_matched": matched, "construction": c("construction"), "is_realty": c("is_realty"), "developer": f["developer"], "complex_name": f["complex_name"],
         "offer_type": c("offer_type"), "advertiser_type": c("advertiser_type"), "personal_ad": f["personal_ad"], "ocr_engine": c("engine"), "dir_site": c("b.site"),
         "dir_phone": c("b.phone"), "address": c("address"), "score": c("score"), "full_image_path": none,
-        "crop_image_path": F.concat(F.lit("crops/"), c("panoid"), F.lit("_"), c("idx").cast("string"), F.lit(".jpg")),
+        "crop_image_path": own("crop_image_path", F.concat(F.lit("crops/"), c("panoid"), F.lit("_"), c("idx").cast("string"), F.lit(".jpg"))),
         "source_url": text.deep_link(c("lon"), c("lat"), c("bearing_deg"), VIEWER),
         "dedup_key": text.coarse_key(c("lon"), c("lat"), c("bearing_deg"), f["category"]),
     }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adlens.operators.dictionary import Directory
 from adlens.operators.graph import walk
 from adlens.operators.greedy import duplicate_edges, first_fit_boards, spaced
-from adlens.plans.pipeline import accepted, assembled, candidates
+from adlens.plans.pipeline import accepted, assembled_readings, candidates
 from adlens.session import shared_dir, table
 from adlens.streaming.crawl import Crawl, CrawlRules
 
@@ -105,11 +105,9 @@ def q_crawl(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """Boxes and readings through all stages to accepted advertisements."""
+    """Boxes and all readings through all stages to accepted advertisements."""
     panoramas, detections = table(spark, sf, "panoramas"), table(spark, sf, "detections")
-    boxes_ = candidates(detections, panoramas).withColumn("seq", F.xxhash64("panoid", "idx", "fx0"))
-    read = table(spark, sf, "banners").groupBy("panoid").agg(F.min_by(F.struct("text", "advertiser", "category", "construction", "is_realty", "developer", "complex_name", "offer_type", "advertiser_type", F.col("ocr_engine").alias("engine")), "seq").alias("r"))
-    readings = read.select("panoid", F.lit(0).alias("idx"), "r.*")
+    boxes_ = candidates(detections, panoramas)
     shared_dir(spark)
-    rows = assembled(boxes_, readings, Directory.from_table(table(spark, sf, "brands"))).checkpoint()  # read several times
+    rows = assembled_readings(boxes_, table(spark, sf, "banners"), Directory.from_table(table(spark, sf, "brands"))).checkpoint()  # read several times
     return accepted(rows).select("banner_id", "panoid", "category", "brand", "brand_matched", F.array_join("phones", ", ").alias("phones"), F.round("bearing_deg", 4).alias("bearing_deg"))

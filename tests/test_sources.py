@@ -129,6 +129,30 @@ def test_pipeline_of_one_panorama(spark):
     assert {x.seq for x in pipeline.accepted(rows).collect()} == {0, 2}
 
 
+def test_pipeline_query_takes_every_reading(spark, tmp_path):
+    from adlens.plans.walks import q_pipeline
+
+    spark.createDataFrame([("o", "p", "success", 38.0, 45.0, 5, "i", 256, [(2, 4000, 3000)], 90.0, 0.0, [], "адрес")], schemas.PANORAMAS).write.parquet(f"{tmp_path}/panoramas.parquet")
+    boxes = [("p", i, x, 0.4, x + 0.1, 0.5, 0.9, "banner", 0.9, 0.0) for i, x in enumerate((0.1, 0.5, 0.8))]
+    spark.createDataFrame(boxes[:2], schemas.DETECTIONS).write.parquet(f"{tmp_path}/detections.parquet")
+    brands = "brand_id long, canonical string, role string, aliases array<string>, complexes array<string>, site string, phone string, category string"
+    spark.createDataFrame([(1, "Пик", "застройщик", [], [], None, None, None)], brands).write.parquet(f"{tmp_path}/brands.parquet")
+    names = schemas.BANNERS.names
+    row = lambda **x: tuple({"lon": 38.0, "lat": 45.0, "ocr_engine": "vlm-a", "panoid": "p", **x}.get(k) for k in names)
+    readings = [
+        row(seq=9, banner_id="A", text="8 (985) 277-78-71"), row(seq=2, banner_id="B", text="8 (985) 277-78-72"), row(seq=4, banner_id="B", text="8 (985) 277-78-72"),
+        row(seq=12, banner_id="C", bearing_deg=40.0, text="8 (985) 277-78-73"), row(seq=7, banner_id="D", panoid="q", lon=39.0, text="8 (985) 277-78-74"),
+    ]
+    spark.createDataFrame(readings, schemas.BANNERS).write.parquet(f"{tmp_path}/banners.parquet")
+    rows = {r.phones: r for r in q_pipeline(spark, str(tmp_path)).collect()}
+    assert sorted(rows) == [f"+7985277787{i}" for i in (1, 2, 3, 4)]
+    # The board read first has the first box; boards beyond the boxes keep their own id.
+    assert rows["+79852777872"].bearing_deg == 144.0 and rows["+79852777871"].bearing_deg == 288.0
+    assert rows["+79852777873"].banner_id == "C" and rows["+79852777874"].panoid == "q"
+    both = pipeline.paired(pipeline.candidates(spark.createDataFrame(boxes, schemas.DETECTIONS), spark.read.parquet(f"{tmp_path}/panoramas.parquet")), spark.createDataFrame(readings[:3], schemas.BANNERS))
+    assert [(r.seq, r.idx, r.own_banner_id) for r in both.orderBy("seq").collect()] == [(0, 0, "B"), (1, 2, None), (2, 0, "B"), (3, 1, "A")]
+
+
 def test_command_line(spark, tmp_path):
     b = f"{tmp_path}/banners"
     banners(spark).write.parquet(b)
