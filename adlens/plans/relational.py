@@ -231,8 +231,10 @@ def q_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.sql import types as T
 
     b = table(spark, sf, "banners")
-    old = b.filter("seq <= 1000000").select("seq", "banner_id")
-    new = b.filter("brand_matched").select((F.col("seq") + 1000000).alias("seq"), F.lit("new").alias("note"))
+    # The SQL twin shifts by 1000000, which is too little once the table has seqs above that.
+    shift = max(1000000, b.agg(F.max("seq")).first()[0] or 0)
+    old = b.select("seq", "banner_id")
+    new = b.filter("brand_matched").select((F.col("seq") + shift).alias("seq"), F.lit("new").alias("note"))
     return state.evolved([old, new], T.StructType.fromDDL("seq bigint, banner_id string, note string"))
 
 

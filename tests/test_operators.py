@@ -192,3 +192,12 @@ def test_retries_and_observation(spark):
     df, seen = recognition.observed(spark.range(10), "passing", even=F.col("id") % 2 == 0)
     df.write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "even": 5}
+
+
+def test_schema_evolution_takes_all_rows(spark, tmp_path):
+    from adlens.plans.relational import q_schema_evolution
+
+    rows = [(1, "a", True), (1000001, "b", False), (1500000, "c", True)]
+    spark.createDataFrame(rows, "seq long, banner_id string, brand_matched boolean").write.parquet(f"{tmp_path}/banners.parquet")
+    got = [(r.seq, r.banner_id, r.note) for r in q_schema_evolution(spark, str(tmp_path)).orderBy("seq").collect()]
+    assert got == [(1, "a", None), (1000001, "b", None), (1500000, "c", None), (1500001, None, "new"), (3000000, None, "new")]
