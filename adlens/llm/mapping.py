@@ -90,9 +90,9 @@ class Entry:
 
 
 class Matcher:
-    def __init__(self, entries: Iterable[tuple[str, str]], threshold: float = 0.18, margin: float = 0.02, keep: int = 6):
+    def __init__(self, entries: Iterable[tuple[str, str]], threshold: float = 0.18, margin: float = 0.02):
         """entries: (spelling, target) pairs; one target may have many spellings."""
-        self.threshold, self.margin, self.keep = threshold, margin, keep
+        self.threshold, self.margin = threshold, margin
         pairs = [(tuple(w for w in normal(s).split() if w not in FRAME), t) for s, t in entries]
         in_targets: dict[str, set[str]] = defaultdict(set)
         for words, t in pairs:
@@ -123,7 +123,7 @@ class Matcher:
                 self.index[g].append((i, c * self.idf[g] / norm))
 
     def candidates(self, words: list[str]) -> list[tuple[float, list[int]]]:
-        """(cosine, entries) of the best targets, each with its best entries."""
+        """(cosine, entries) of the targets above the threshold, each with its entries, best first."""
         score: dict[int, float] = defaultdict(float)
         square = 0.0
         for g, c in grams(words).items():
@@ -136,7 +136,7 @@ class Matcher:
         for i, s in score.items():
             if s >= self.threshold * norm:
                 best[self.entries[i].target].append((s / norm, i))
-        ranked = sorted((sorted(x, reverse=True)[:3] for x in best.values()), reverse=True)[: self.keep]
+        ranked = sorted((sorted(x, reverse=True) for x in best.values()), reverse=True)
         return [(x[0][0], [i for _, i in x]) for x in ranked]
 
     def distance(self, entry: Entry, words: list[str]) -> float | None:

@@ -1,4 +1,4 @@
-from adlens.llm.mapping import directory, edits, normal
+from adlens.llm.mapping import Matcher, directory, edits, normal
 from adlens.llm.p3 import mapped
 
 BRANDS = [
@@ -25,6 +25,13 @@ def test_names():
         assert complexes.match(value)[0] == want, value
 
 
+def test_every_candidate_is_checked():
+    street = "изумрудные террасы вересковый причал северное сияние полынный хутор янтарный"
+    others = [f"{street} {w}" for w in ("баржа", "грушевый", "дюжина", "жёлудь", "кубок", "щегол", "эхо")]
+    assert Matcher([*((s, s) for s in others), ("тополь", "П")]).match(f"{street} тополь")[0] == "П"  # many targets
+    assert Matcher([*((s, "П") for s in others), ("тополь", "П")]).match(f"{street} тополь")[0] == "П"  # many entries of one
+
+
 def test_pieces():
     assert normal("  «П0лынный» маяк ё ") == "полынный маяк е"
     assert [edits(a, b, 2) for a, b in (("ab", "ba"), ("ab", "ab"), ("abc", "a"), ("abcd", "a"), ("abc", "xyz"))] == [1, 0, 2, 3, 3]
