@@ -321,11 +321,18 @@ def q_margin_rule(spark: SparkSession, sf: str) -> DataFrame:
 # --- vectors and pixels ------------------------------------------------------------------
 
 
+#: Prompts that may be a constant of the plan.
+MAX_PROMPTS = 1000
+
+
 def _prompts(spark: SparkSession, sf: str) -> list[tuple[str, list[float]]]:
-    """Mean vector of each label: a bounded set of prompts."""
+    """Mean vector of each label: a bounded set of prompts, refused when there are more."""
     e = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
     m = e.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x")).groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v"))
-    return [(str(r.label), [p.x for p in r.v]) for r in m.orderBy("label").limit(1000).collect()]
+    rows = m.orderBy("label").limit(MAX_PROMPTS + 1).collect()
+    if len(rows) > MAX_PROMPTS:
+        raise ValueError(f"more than {MAX_PROMPTS} labels to score against")
+    return [(str(r.label), [p.x for p in r.v]) for r in rows]
 
 
 _SHOT = """WITH c AS (SELECT label, list(x ORDER BY i) AS v FROM (SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM

@@ -201,3 +201,12 @@ def test_schema_evolution_takes_all_rows(spark, tmp_path):
     spark.createDataFrame(rows, "seq long, banner_id string, brand_matched boolean").write.parquet(f"{tmp_path}/banners.parquet")
     got = [(r.seq, r.banner_id, r.note) for r in q_schema_evolution(spark, str(tmp_path)).orderBy("seq").collect()]
     assert got == [(1, "a", None), (1000001, "b", None), (1500000, "c", None), (1500001, None, "new"), (3000000, None, "new")]
+
+
+def test_zero_shot_refuses_labels_beyond_the_bound(spark, tmp_path):
+    from adlens.plans.scalars import q_zero_shot, q_zero_shot_gate
+
+    spark.range(1001).selectExpr("id as vec_id", "cast(id as int) as label", "array(1.0f, cast(id as float)) as embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for query in (q_zero_shot, q_zero_shot_gate):
+        with pytest.raises(ValueError, match="1000 labels"):
+            query(spark, str(tmp_path))
