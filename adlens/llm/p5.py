@@ -59,9 +59,12 @@ def spellings(cells: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None
     return [(r.word, r.n) for r in (*words, *known)], None
 
 
+WHOLE_LATIN, WHOLE_CYRILLIC = (rf"(?<![\p{{L}}])[{letters}]+(?![\p{{L}}])" for letters in (cf.AMBIGUOUS_LATIN, cf.AMBIGUOUS_CYRILLIC))
+
+
 def hinted(cells: DataFrame, twins: DataFrame) -> DataFrame:
-    """Adds `hints`, the twins of a value's ambiguous Latin words, by a join on their shape."""
-    found = F.regexp_extract_all("value", F.lit(rf"(?<![\p{{L}}])[{cf.AMBIGUOUS_LATIN}]+(?![\p{{L}}])"), F.lit(0))
+    """Adds `hints`, the twins of a value's ambiguous words, by a join on their shape."""
+    found = F.regexp_extract_all("value", F.lit(rf"{WHOLE_LATIN}|{WHOLE_CYRILLIC}"), F.lit(0))
     shapes = F.array_distinct(F.transform(found, lambda w: F.translate(F.lower(w), LATIN, CYRILLIC)))
     of = cells.select("value").distinct().select("value", F.explode(shapes).alias("shape")).join(twins, "shape")
     hints = of.groupBy("value").agg(F.collect_set(F.struct("word", "n")).alias("hints"))
@@ -71,8 +74,8 @@ def hinted(cells: DataFrame, twins: DataFrame) -> DataFrame:
 def consistent(banners: DataFrame) -> DataFrame:
     """(seq, field_name, value, form, disguised) of every value that needs a closer look.
 
-    Values of Cyrillic letters and plain signs alone are skipped by the JVM: they are in
-    consistent form already. Nulls have no row, empty values and those of any length are
+    Values of Cyrillic letters and plain signs alone are skipped by the JVM unless one of
+    their words may be a Latin one in look-alikes: they are in consistent form already. Nulls have no row, empty values and those of any length are
     handled whole, repeated rows keep their own seq, an empty table gives no rows.
     """
     cells = values(spread(banners.select("seq", *FIELDS)))
@@ -95,7 +98,7 @@ def consistent(banners: DataFrame) -> DataFrame:
                 names=["seq", "field_name", "value", "form", "disguised"],
             )
 
-    looked = cells.filter(F.col("value").rlike(cf.LOOK))
+    looked = cells.filter(F.col("value").rlike(cf.LOOK) | F.col("value").rlike(WHOLE_CYRILLIC))
     if twins is not None:
         looked = hinted(looked, twins)
     return looked.mapInArrow(run, "seq long, field_name string, value string, form string, disguised boolean")

@@ -95,7 +95,17 @@ def test_short_latin_words_are_decided_by_their_twins(spark, monkeypatch):
     df = spark.createDataFrame(rows, "seq long, text string, advertiser string")
     for most in (p5.MAX_AMBIGUOUS, 0):  # broadcast, joined
         monkeypatch.setattr(p5, "MAX_AMBIGUOUS", most)
-        assert sorted((r.seq, r.form) for r in consistent(df).filter("disguised").collect()) == [(3, "ооо"), (4, "ООО")]
+        assert sorted((r.seq, r.form) for r in consistent(df).filter("disguised").collect()) == [(3, "ооо"), (4, "ООО"), (7, "pop")]
+
+
+def test_latin_words_in_cyrillic_letters_are_found(spark, monkeypatch):
+    from adlens.llm import p5
+
+    rows = [(i, t, None) for i, t in enumerate(["PACE", "pace", "Pace", "расе", "у расе", "сор", "cop", "сор", "а также сор"])]
+    df = spark.createDataFrame(rows, "seq long, text string, advertiser string")
+    for most in (p5.MAX_AMBIGUOUS, 0):  # broadcast, joined
+        monkeypatch.setattr(p5, "MAX_AMBIGUOUS", most)
+        assert sorted((r.seq, r.form) for r in consistent(df).filter("disguised").collect()) == [(3, "pace"), (4, "у pace"), (6, "сор")]
 
 
 def test_every_pair_of_twins_is_mutual():
