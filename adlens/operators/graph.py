@@ -21,9 +21,12 @@ Box = tuple[float, float, float, float]
 
 
 def usable(panoramas: DataFrame) -> DataFrame:
-    """One successful row of each oid, the earliest timestamp's first (repeated rows are equal)."""
+    """One successful row of each oid: the earliest, of equally early ones the first by its values."""
     ok = panoramas.filter("status = 'success' and oid is not null and panoid is not null")
-    return ok.select("oid", "panoid", "lon", "lat", "neighbor_oids").dropDuplicates(["oid"])
+    columns = ("panoid", "lon", "lat", "neighbor_oids")
+    stamp = F.col("timestamp").cast("long") if "timestamp" in panoramas.columns else F.lit(0)
+    first = F.min(F.struct(stamp.alias("at"), *columns)).alias("r")
+    return ok.groupBy("oid").agg(first).select("oid", *[f"r.{c}" for c in columns])
 
 
 def nearest(panoramas: DataFrame, lon: float, lat: float) -> DataFrame:

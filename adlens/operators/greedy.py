@@ -8,41 +8,120 @@ which survives lost executors.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions import geo
 from adlens.operators.neighbors import pairs_within
+from adlens.operators.ranking import top_per_group
 from adlens.session import shared_dir
 
 
-def first_fit(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """(seq) of the kept: rows without an earlier kept neighbour.
+#: Conflicts that one task decides in order; more are first thinned by joined rounds.
+TAIL = 300_000
+
 
-    `nodes` has a unique `seq`; `edges` (earlier, later) join rows that exclude each other.
-    Every round decides at least the earliest undecided row of each chain, so rounds are at
-    most the longest chain of conflicts. Null ids are dropped; an empty table keeps nothing.
+def first_fit(nodes: DataFrame, edges: DataFrame, group: str | None = None, cap: int | None = None, tail: int = TAIL, max_rounds: int = 1000) -> DataFrame:
+    """(seq) of the kept: rows without an earlier kept neighbour, at most `cap` of a group.
+
+    `nodes` has a unique `seq` (and `group`); `edges` (earlier, later) join rows that exclude
+    each other. A row over the cap isn't kept, so it excludes nothing. A round rejects all
+    rows next to one that is certainly kept, and drops every edge of a rejected row, so it
+    reads undecided conflicts only; at most `tail` of them are left to one task, which
+    decides them in order. Every round decides at least the earliest open conflict. Null
+    ids are dropped, rows of a null group aren't capped, an empty table keeps nothing.
     """
     shared_dir(nodes.sparkSession)
-    ids = nodes.select(F.col("seq").cast("long").alias("seq")).filter("seq is not null").distinct()
-    edges = edges.select("earlier", "later").distinct().checkpoint()
-    # Only rows with an earlier neighbour need a state; all others are kept at once.
-    bound = edges.select(F.col("later").alias("seq")).distinct()
-    roots = ids.join(bound, "seq", "left_anti")
-    state = bound.join(ids, "seq", "left_semi").select("seq", F.lit(None).cast("boolean").alias("kept")).checkpoint()
+    of = F.col(group) if group and cap is not None else F.lit(None).cast("string")
+    ids = nodes.select(F.col("seq").cast("long").alias("seq"), of.cast("string").alias("of")).filter("seq is not null")
+    ids = ids.groupBy("seq").agg(F.min("of").alias("of"))
+    if cap is not None:
+        ids = ids.checkpoint()  # read in every round
+    edges = edges.select("earlier", "later").distinct()
+    known = ids.select("seq")
+    edges = edges.join(known.withColumnRenamed("seq", "earlier"), "earlier", "left_semi").join(known.withColumnRenamed("seq", "later"), "later", "left_semi").checkpoint()
+    rejected: list[DataFrame] = []
     for _ in range(max_rounds):
-        open_ = state.filter("kept is null").select(F.col("seq").alias("later"))
-        if open_.isEmpty():
+        if edges.limit(tail + 1).count() <= tail:
             break
-        before = state.select(F.col("seq").alias("earlier"), F.lit(True).alias("bound"), "kept")
-        told = edges.join(open_, "later", "left_semi").join(before, "earlier", "left")
-        kept = F.when(F.col("bound").isNull(), True).otherwise(F.col("kept"))
-        told = told.groupBy(F.col("later").alias("seq")).agg(F.max(F.when(kept, True)).alias("blocked"), F.max(F.when(kept.isNull(), True)).alias("waits"))
-        decided = F.when(F.col("blocked"), False).when(F.col("waits").isNull() & F.col("kept").isNull(), True)
-        state = state.join(told, "seq", "left").select("seq", F.coalesce("kept", decided).alias("kept")).checkpoint()
+        certain = edges.select("earlier").distinct().join(edges.select(F.col("later").alias("earlier")), "earlier", "left_anti")
+        over = None
+        if cap is not None:
+            alive = _without(ids.filter("of is not null"), rejected, "seq")
+            allowed = top_per_group(alive, ["of"], [F.asc("seq")], cap).checkpoint()
+            waits = allowed.join(edges.select(F.col("later").alias("seq")).distinct(), "seq", "left_semi").select("of").distinct()
+            full = allowed.groupBy("of").agg(F.count("*").alias("n"), F.max("seq").alias("last")).filter(F.col("n") >= cap).join(waits, "of", "left_anti")
+            over = alive.join(full, "of").filter(F.col("seq") > F.col("last")).select("seq").checkpoint()
+            free = ids.filter("of is null").select("seq").unionByName(allowed.select("seq"))
+            certain = certain.join(free.withColumnRenamed("seq", "earlier"), "earlier", "left_semi")
+        blocked = edges.join(certain, "earlier", "left_semi").select(F.col("later").alias("seq")).distinct().checkpoint()
+        out = [blocked] if over is None else [blocked, over]
+        rejected += out
+        edges = _without(_without(edges, out, "later"), out, "earlier").checkpoint()
     else:
         raise RuntimeError("conflict chains are longer than max_rounds")
-    return roots.unionByName(state.filter("kept").select("seq"))
+    alive = _without(ids, rejected, "seq")
+    lost = _decided_in_order(alive, edges, cap)
+    alive = alive.join(lost, "seq", "left_anti")
+    if cap is None:
+        return alive.select("seq")
+    # Rows in conflict are decided with the cap; this drops the free ones beyond it.
+    capped = top_per_group(alive.filter("of is not null"), ["of"], [F.asc("seq")], cap)
+    return alive.filter("of is null").select("seq").unionByName(capped.select("seq"))
+
+
+def _without(rows: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:
+    for p in parts:
+        rows = rows.join(p.select(F.col("seq").alias(key)), key, "left_anti")
+    return rows
+
+
+def _decided_in_order(alive: DataFrame, edges: DataFrame, cap: int | None) -> DataFrame:
+    """(seq) that the edges left, and the cap, reject: one task goes through them by seq.
+
+    With a cap the task also gets the groups of rows in conflict, and the first `cap` rows
+    without a conflict of these groups: later ones find their group full already.
+    """
+    conflicts = edges.select(F.col("later").alias("seq"), F.col("earlier").alias("by"), F.lit(None).cast("string").alias("of"))
+    if cap is not None:
+        ends = edges.select(F.explode(F.array("earlier", "later")).alias("seq")).distinct()
+        grouped = alive.filter("of is not null")
+        mixed = grouped.join(ends, "seq", "left_semi").checkpoint()
+        free = grouped.join(mixed.select("of").distinct(), "of", "left_semi").join(ends, "seq", "left_anti")
+        sent = mixed.unionByName(top_per_group(free, ["of"], [F.asc("seq")], cap))
+        conflicts = conflicts.unionByName(sent.select("seq", F.col("seq").alias("by"), "of"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        if not parts:
+            return
+        rows = pd.concat(parts).sort_values("seq", kind="stable")
+        lost: set[int] = set()
+        taken: dict[str, int] = {}
+        now, of, blocked = None, None, False
+
+        def decide() -> None:
+            full = of is not None and taken.get(of, 0) >= cap
+            if blocked or full:
+                lost.add(now)
+            elif of is not None:
+                taken[of] = taken.get(of, 0) + 1
+
+        for seq, by, group in zip(rows["seq"].tolist(), rows["by"].tolist(), rows["of"].tolist()):
+            if seq != now:
+                if now is not None:
+                    decide()
+                now, of, blocked = seq, None, False
+            of = group if isinstance(group, str) else of
+            blocked |= by != seq and by not in lost
+        decide()
+        yield pd.DataFrame({"seq": np.fromiter(lost, np.int64, len(lost))})
+
+    return conflicts.coalesce(1).mapInPandas(run, "seq long").checkpoint()
 
 
 def _in_search_box(a_lon: Column, a_lat: Column, lon: Column, lat: Column, reach: float) -> Column:
@@ -89,42 +168,53 @@ def duplicate_edges(rows: DataFrame, radius_m: float = 25.0, phone_radius_m: flo
     return full.filter((metres <= limit) & boxed).select("earlier", "later")
 
 
-def first_fit_boards(rows: DataFrame, stored: DataFrame | None = None, **radii: float) -> DataFrame:
-    """Readings kept in order of seq, duplicates of earlier kept ones left out.
+def first_fit_boards(rows: DataFrame, stored: DataFrame | None = None, group: str | None = None, cap: int | None = None, **radii: float) -> DataFrame:
+    """Readings kept in order of seq, duplicates of earlier kept ones left out, at most `cap` of a `group`.
 
     With `stored` (readings kept before, of smaller seq) the batch is also checked against
-    it: equal to one long run when batches come in order. Rows without a position are kept.
+    it: equal to one long run when batches come in order. The cap counts the batch's own
+    rows; a row over it is not kept and so rejects nothing. Rows without a position are
+    duplicates of none.
     """
     shared_dir(rows.sparkSession)
-    spots = first_of_spot(rows).checkpoint()  # read by every part of the edge join
+    if cap is None or group is None:
+        group = cap = None
+    spots = first_of_spot(rows, group).checkpoint()  # read by every part of the edge join
+    places = spots.drop(group) if group else spots
+    free = _unplaced(rows, group)
     if stored is None:
-        kept = first_fit(spots, duplicate_edges(spots, **radii))
-        return rows.join(kept.unionByName(_unplaced(rows)), "seq", "left_semi")
-    both = stored.select(*SPOT).unionByName(spots.select(*SPOT))
-    edges = duplicate_edges(both, **radii).checkpoint()
-    old = stored.select(F.col("seq").alias("earlier"))
-    known = edges.join(old, "earlier", "left_semi").select(F.col("later").alias("seq")).distinct()
-    new = spots.join(known, "seq", "left_anti").join(stored.select("seq"), "seq", "left_anti").select("seq")
-    own = edges.join(new.withColumnRenamed("seq", "earlier"), "earlier", "left_semi").join(new.withColumnRenamed("seq", "later"), "later", "left_semi")
-    return rows.join(first_fit(new, own).unionByName(_unplaced(rows)), "seq", "left_semi")
+        new, edges = spots, duplicate_edges(places, **radii)
+    else:
+        both = stored.select(*SPOT).unionByName(spots.select(*SPOT))
+        found = duplicate_edges(both, **radii).checkpoint()
+        known = found.join(stored.select(F.col("seq").alias("earlier")), "earlier", "left_semi").select(F.col("later").alias("seq")).distinct()
+        new = spots.join(known, "seq", "left_anti").join(stored.select("seq"), "seq", "left_anti")
+        edges = found
+    if cap is None:
+        kept = first_fit(new, edges).unionByName(free)
+    else:
+        kept = first_fit(new.select("seq", group).unionByName(free), edges, group, cap)
+    return rows.join(kept, "seq", "left_semi")
 
 
 SPOT = ("seq", "lon", "lat", "bearing_deg", "phones")
 
 
-def _unplaced(rows: DataFrame) -> DataFrame:
-    return rows.filter(~geo.valid_position(F.col("lon"), F.col("lat"))).select(F.col("seq").cast("long").alias("seq"))
+def _unplaced(rows: DataFrame, group: str | None = None) -> DataFrame:
+    lost = rows.filter(~F.coalesce(geo.valid_position(F.col("lon"), F.col("lat")), F.lit(False)))
+    return lost.select(F.col("seq").cast("long").alias("seq"), *([group] if group else []))
 
 
-def first_of_spot(rows: DataFrame) -> DataFrame:
-    """The first of readings equal in position, bearing and phones, by a combining aggregate.
+def first_of_spot(rows: DataFrame, group: str | None = None) -> DataFrame:
+    """The first of readings equal in position, bearing and phones (and group), by a combining aggregate.
 
     Whatever rejects the first rejects its equals, and if nothing does, the first itself
     does; so groups of copies need no edges, however large they are.
     """
     phones = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce("phones", F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")))
     placed = rows.filter(geo.valid_position(F.col("lon"), F.col("lat")))
-    return placed.select(*SPOT[:4], phones.alias("phones")).groupBy(*SPOT[1:]).agg(F.min("seq").alias("seq")).select(*SPOT)
+    key = [*SPOT[1:], *([group] if group else [])]
+    return placed.select("seq", *SPOT[1:4], phones.alias("phones"), *key[4:]).groupBy(*key).agg(F.min("seq").cast("long").alias("seq")).select("seq", *key)
 
 
 def spaced(points: DataFrame, metres: float, guards: DataFrame | None = None, max_rounds: int = 1000) -> DataFrame:

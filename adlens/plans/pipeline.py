@@ -15,6 +15,7 @@ from adlens.operators import ranking, recognition
 from adlens.operators.dictionary import Directory
 from adlens.operators.graph import numbered
 from adlens.operators.greedy import first_fit_boards
+from adlens.sources import metadata
 from adlens.sources.config import Settings
 
 VIEWER = "https://maps.example.net/"
@@ -30,7 +31,7 @@ def candidates(detections: DataFrame, panoramas: DataFrame, settings: Settings |
     listed = d.groupBy("panoid").agg(F.sort_array(F.collect_list(F.struct(order.alias("order"), "idx", "score", "label", *boxes.BOX))).alias("b"))
     plain = F.transform("b", lambda x: F.struct(*[x[k].alias(k) for k in ("idx", "score", "label", *boxes.BOX)]))
     kept = listed.select("panoid", F.explode(boxes.suppressed(plain, element, s.get("detector.iou"))).alias("k")).select("panoid", "k.*")
-    one = panoramas.filter("status = 'success'").dropDuplicates(["panoid"])
+    one = metadata.earliest(panoramas.filter("status = 'success'"), "panoid")
     sized = kept.join(one, "panoid").withColumn("z", boxes.zoom_level(F.col("zooms"), s.get("panorama.crop_zoom")))
     sized = sized.withColumn("z", F.coalesce("z", boxes.zoom_level(F.col("zooms"), s.get("panorama.overview_zoom"))))
     w, h = boxes.pixel_size({k: F.col(k) for k in boxes.BOX}, F.col("z.width"), F.col("z.height"))
@@ -109,7 +110,10 @@ def _rows(j: DataFrame, directory: Directory | None, settings: Settings | None)
 
 
 def accepted(banners: DataFrame, stored: DataFrame | None = None, settings: Settings | None = None) -> DataFrame:
-    """Rows that are no duplicates of earlier ones, and at most so many of a panorama."""
+    """Rows in order of seq that are no duplicates of earlier accepted ones, at most so many of a panorama.
+
+    A row beyond its panorama's cap isn't accepted, so it makes no later row a duplicate.
+    """
     s = settings or Settings()
-    kept = first_fit_boards(banners, stored, radius_m=s.get("dedup.radius_m"), phone_radius_m=s.get("dedup.phone_radius_m"), assumed_m=s.get("dedup.assumed_distance_m"))
-    return ranking.top_per_group(kept, ["panoid"], [F.asc("seq")], s.get("detector.max_per_panorama"))
+    radii = {"radius_m": s.get("dedup.radius_m"), "phone_radius_m": s.get("dedup.phone_radius_m"), "assumed_m": s.get("dedup.assumed_distance_m")}
+    return first_fit_boards(banners, stored, group="panoid", cap=s.get("detector.max_per_panorama"), **radii)

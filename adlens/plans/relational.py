@@ -51,7 +51,7 @@ _MARGIN = "(pos_score >= 0.25 OR (pos_score >= 0.10 AND (neg_score IS NULL OR lo
 )
 def q_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes left after each gate, in one pass."""
-    p = table(spark, sf, "panoramas").dropDuplicates(["panoid"]).select("panoid", boxes.zoom_level(F.col("zooms"), 2).alias("z"))
+    p = metadata.earliest(table(spark, sf, "panoramas"), "panoid").select("panoid", boxes.zoom_level(F.col("zooms"), 2).alias("z"))
     d = table(spark, sf, "detections").join(p, "panoid", "left")
     w, h = boxes.pixel_size({k: F.col(k) for k in boxes.BOX}, F.col("z.width"), F.col("z.height"))
     gates = d.select("label", boxes.margin_rule(F.col("pos_score"), F.col("neg_score")).alias("m"), F.coalesce(boxes.size_gate(w, h), F.lit(False)).alias("g"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adlens.functions import boxes, contacts, geo, scoring, text
 from adlens.operators.images import gray_stats
 from adlens.session import spread, table
+from adlens.sources import metadata
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -265,7 +266,7 @@ d AS (SELECT * FROM detections JOIN p USING (panoid))
 
 
 def _boxes(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "panoramas").dropDuplicates(["panoid"])
+    p = metadata.earliest(table(spark, sf, "panoramas"), "panoid")
     p = p.select("panoid", "azimuth_origin", "tile_size", boxes.zoom_level(F.col("zooms"), 2).alias("z"), boxes.max_zoom(F.col("zooms")).alias("finest"))
     return table(spark, sf, "detections").join(p, "panoid")
 

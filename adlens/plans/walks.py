@@ -12,6 +12,7 @@ from adlens.operators.graph import walk
 from adlens.operators.greedy import duplicate_edges, first_fit_boards, spaced
 from adlens.plans.pipeline import accepted, assembled_readings, candidates
 from adlens.session import shared_dir, table
+from adlens.sources.config import DEFAULTS, Settings
 from adlens.streaming.crawl import Crawl, CrawlRules
 
 QUERIES: dict = {}
@@ -59,6 +60,19 @@ def q_first_fit(spark: SparkSession, sf: str) -> DataFrame:
     return first_fit_boards(table(spark, sf, "banners")).select("seq")
 
 
+@query(
+    _EDGES
+    + """, p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY seq) AS i, seq, panoid, coalesce((SELECT list(earlier) FROM e WHERE later = q.seq), []) AS before FROM banners q),
+f(i, kept, boards) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS VARCHAR[]) UNION ALL
+  SELECT f.i + 1, CASE WHEN no THEN f.kept ELSE list_append(f.kept, p.seq) END, CASE WHEN no OR p.panoid IS NULL THEN f.boards ELSE list_append(f.boards, p.panoid) END FROM f JOIN p ON p.i = f.i + 1,
+    LATERAL (SELECT len(p.before) > 0 AND list_has_any(f.kept, p.before) OR len(list_filter(f.boards, lambda x: x = p.panoid)) >= 2 AS no))
+SELECT unnest(kept) AS seq FROM f WHERE i = (SELECT max(i) FROM p)"""
+)
+def q_accepted(spark: SparkSession, sf: str) -> DataFrame:
+    """First-fit with at most two accepted readings of a panorama, in order of arrival."""
+    return accepted(table(spark, sf, "banners"), settings=Settings({**DEFAULTS, "detector": {**DEFAULTS["detector"], "max_per_panorama": 2}})).select("seq")
+
+
 def _points(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "panoramas").filter("status = 'success' and oid is not null").groupBy("oid").agg(F.min(F.struct("lon", "lat")).alias("p"))
     return p.select(F.regexp_replace("oid", r"\D", "").cast("long").alias("seq"), "p.lon", "p.lat")
@@ -99,8 +113,10 @@ def q_walk(spark: SparkSession, sf: str) -> DataFrame:
 def q_crawl(spark: SparkSession, sf: str) -> DataFrame:
     """The resumable crawl from its start and on until the whole table is visited; state in the shared folder."""
     path = f"{shared_dir(spark)}/crawl-{uuid.uuid4().hex}"
-    rules = CrawlRules(spacing_m=75.0, max_failures=30)
-    return Crawl(spark, path, rules).run_all(table(spark, sf, "panoramas"), *START).select("panoid", "seq", "level")
+    crawl = Crawl(spark, path, CrawlRules(spacing_m=75.0, max_failures=30))
+    rows = crawl.run_all(table(spark, sf, "panoramas"), *START).select("panoid", "seq", "level").checkpoint()
+    crawl.drop()
+    return rows
 
 
 @query()

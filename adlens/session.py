@@ -15,6 +15,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.driver.host": "127.0.0.1",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     builder = SparkSession.builder.master(f"local[{cores}]").appName("adlens")
     for key, value in settings.items():
@@ -39,12 +40,23 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Checkpoint folder named by the cluster; only a session without one gets a local one."""
+    """Checkpoint folder named by the cluster in spark.checkpoint.dir.
+
+    Only a session whose executors share this machine may go without: it gets a folder of
+    its own, removed at exit. On a cluster an unset folder is an error, as every executor
+    would write to its own disk.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        import atexit
+        import shutil
         import tempfile
 
-        path = "file://" + tempfile.mkdtemp(prefix="adlens-")
+        local = tempfile.mkdtemp(prefix="adlens-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        path = "file://" + local
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -75,9 +75,15 @@ def rendered(panoramas: DataFrame) -> DataFrame:
 
 
 def by_oid(frontier: DataFrame, panoramas: DataFrame) -> DataFrame:
-    """Metadata of asked oids; unknown and failed ones have no row."""
-    ok = panoramas.filter("status = 'success'").dropDuplicates(["oid"])
-    return frontier.select("oid").distinct().join(ok, "oid")
+    """Metadata of asked oids; unknown and failed ones have no row, of repeated rows the earliest counts."""
+    return frontier.select("oid").distinct().join(earliest(panoramas.filter("status = 'success'"), "oid"), "oid")
+
+
+def earliest(panoramas: DataFrame, key: str) -> DataFrame:
+    """The row of the earliest timestamp of each key; of equally early ones the smallest by its values."""
+    values = [c for c in panoramas.columns if c not in (key, "timestamp")]
+    order = F.struct("timestamp", *values)
+    return panoramas.groupBy(key).agg(F.min(order).alias("_r")).select(*[F.col(c) if c == key else F.col(f"_r.`{c}`") for c in panoramas.columns])
 
 
 def by_coordinates(points: DataFrame, panoramas: DataFrame, reach_m: float = 500.0) -> DataFrame:

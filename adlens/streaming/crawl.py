@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,21 @@ class Crawl:
             steps = -1 if last is None else last.step
         return (df if steps is None else df.filter(F.col("part") <= steps)).select(*schema.names)
 
+    def drop(self) -> None:
+        """Removes the state; its tables can't be read afterwards."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def counts(self) -> DataFrame:
+        """(state, n) of pending, visited, processed, recorded and failed."""
+        last = self.last()
+        done = -1 if last is None else last.done_seq
+        of = lambda name, n: self.table(name).agg(n.alias("n")).select(F.lit(name).alias("state"), "n")
+        rows = of("frontier", F.count_if(F.col("seq") > done)).withColumn("state", F.lit("pending"))
+        for name in ("visited", "processed", "recorded", "failed"):
+            rows = rows.unionByName(of(name, F.count(F.lit(1))))
+        return rows
+
     def last(self) -> T.Row | None:
         return self.table("commits").orderBy(F.desc("step")).first()
 
@@ -261,25 +276,48 @@ def _pop_all(nodes: dict, state: dict, rules: CrawlRules) -> list[tuple]:
     return log
 
 
+#: Side of the store's partitions in degrees; wider than any search box.
+STORE_CELL = 1.0
+
+
+def _store_cell(lon: Column, lat: Column) -> Column:
+    """Number of the store's cell, -1 without a position."""
+    cell = F.floor((lat + 90) / STORE_CELL) * 1000 + F.floor((lon + 180) / STORE_CELL)
+    return F.when(geo.valid_position(lon, lat), cell).otherwise(-1).cast("int")
+
+
 def stream_first_fit(source: DataFrame, store: str, checkpoint: str, **radii: float):
     """Writes a stream's readings that are no duplicates of earlier ones to the store.
 
     `source` is a streaming table of readings. Every micro-batch is checked against the
-    store and within itself by seq, so batches in order of arrival give the same store as
-    one run. A batch writes its own folder: doing it again changes nothing.
+    batches before it and within itself by seq, so batches in order of arrival give the
+    same store as one run. A batch writes its own folder and reads those of smaller number
+    only: doing it again changes nothing, whichever it is. A store belongs to one
+    checkpoint. Only cells (`cell`, one degree wide) around the batch are read.
     """
+    store = store.rstrip("/")
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
+        cell = _store_cell(F.col("lon"), F.col("lat"))
+        near = [[cell + i * 1000 + j for j in (-1, 0, 1)] for i in (-1, 0, 1)]
+        # At most the cells of the globe; 180 degrees east and west meet.
+        around = F.explode(F.array(*[c for row in near for c in row], cell - 359, cell + 359)).alias("cell")
+        cells = [r.cell for r in rows.filter(cell >= 0).select(around).distinct().collect()]
         try:
-            stored = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(store)
-            if number:
-                stored = stored.filter(~F.input_file_name().contains(f"/batch={number}/"))
+            schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType()), T.StructField("cell", T.IntegerType())])
+            stored = spark.read.schema(schema).parquet(store).filter(F.col("batch") < number).filter(F.col("cell").isin(cells)).select(*rows.columns)
             stored.limit(0).count()
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             stored = None
-        first_fit_boards(rows, stored, **radii).write.mode("overwrite").parquet(f"{store}/batch={number}")
+        kept = first_fit_boards(rows, stored, **radii)
+        kept.withColumn("cell", cell).write.mode("overwrite").partitionBy("cell").parquet(f"{store}/batch={number}")
 
     return source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+
+
+def stored_readings(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
+    """The readings that `stream_first_fit` has stored."""
+    return spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(store)

@@ -2,7 +2,7 @@ import random
 from collections import deque
 
 from adlens.operators.graph import walk
-from adlens.streaming.crawl import Crawl, CrawlRules, stream_first_fit
+from adlens.streaming.crawl import Crawl, CrawlRules, stored_readings, stream_first_fit
 
 SCHEMA = "oid string, panoid string, status string, lon double, lat double, timestamp long, neighbor_oids array<string>"
 BOX = (37.99, 44.99, 38.01, 45.01)
@@ -105,5 +105,53 @@ def test_stream_of_readings(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(src)
         q = stream_first_fit(stream, f"{tmp_path}/store", f"{tmp_path}/ck").trigger(availableNow=True).start()
         q.awaitTermination()
-    got = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/store")
-    assert sorted(r.seq for r in got.collect()) == [1, 3]
+    assert sorted(r.seq for r in stored_readings(spark, f"{tmp_path}/store", stream.schema).collect()) == [1, 3]
+
+
+def test_a_micro_batch_done_again_changes_nothing(spark, tmp_path):
+    schema = "seq long, lon double, lat double, bearing_deg double, phones array<string>"
+    parts = [
+        [(1, 38.0, 45.0, None, None), (2, 38.0, 45.0001, None, None), (3, 38.001, 45.0, None, ["1"]), (7, None, None, None, None)],
+        [(4, 38.003, 45.0, None, ["1"]), (5, 38.9999, 46.0, None, None)],
+        [(6, 39.0, 46.0, None, None), (8, 38.0, 45.0, 10.0, None), (9, 41.0, 46.0, None, None)],
+    ]
+    store, calls = f"{tmp_path}/store", []
+
+    class Stream:  # stands for a stream's writer: keeps the function of a batch
+        writeStream = property(lambda self: self)
+
+        def foreachBatch(self, f):
+            calls.append(f)
+            return self
+
+        def option(self, *_):
+            return self
+
+    stream_first_fit(Stream(), store, "unused")
+    frames = [spark.createDataFrame(p, schema) for p in parts]
+    seqs = lambda: sorted(r.seq for r in stored_readings(spark, store, frames[0].schema).collect())
+    want = ([1, 3, 7], [1, 3, 5, 7], [1, 3, 5, 7, 9])
+    for number, df in enumerate(frames):
+        for _ in range(2):  # the batch, and its replay
+            calls[0](df, number)
+            assert seqs() == want[number], number
+    calls[0](frames[0], 0)
+    assert seqs() == want[2]
+
+
+def test_unequal_repeats_of_an_oid(spark):
+    rows = [("a", "A", "success", 38.0, 45.0, 5, ["b"]), ("a", "A", "success", 38.0, 45.0, 3, ["c"]), ("b", "B", "success", 38.0, 45.001, 1, []), ("c", "C", "success", 38.0, 45.002, 1, [])]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts, "timestamp")
+        assert {r.panoid for r in walk(df, 38.0, 45.0).collect()} == {"A", "C"}
+
+
+def test_counts_of_the_crawl(spark, tmp_path):
+    df = spark.createDataFrame(graph(5), SCHEMA)
+    c = Crawl(spark, f"{tmp_path}/c", CrawlRules(None, 100.0, 1000, 2))
+    c.run(df, 38.0, 45.0)
+    n = {r.state: r.n for r in c.counts().collect()}
+    assert n["processed"] == 3 and n["visited"] >= 3 and n.keys() == {"pending", "visited", "processed", "recorded", "failed"}
+    assert n["pending"] == c.table("frontier").filter(f"seq > {c.last().done_seq}").count()
+    c.drop()
+    assert c.last() is None

@@ -17,9 +17,11 @@ def metres(x0, y0, x1, y1):
     return math.hypot((x1 - x0) * 111320 * math.cos(math.radians((y0 + y1) / 2)), (y1 - y0) * 111320)
 
 
-def sequential(rows):
-    kept = []
+def sequential(rows, groups=None, cap=None):
+    kept, taken = [], {}
     for seq, lon, lat, bearing, phones in rows:
+        if groups and taken.get(groups[seq], 0) >= cap:
+            continue
         x, y = board(lon, lat, bearing)
         r, clash = 325 / 111320, False
         for _, klon, klat, kb, kp in kept:
@@ -32,6 +34,8 @@ def sequential(rows):
                 clash |= d <= 25
         if not clash:
             kept.append((seq, lon, lat, bearing, phones))
+            if groups and groups[seq] is not None:
+                taken[groups[seq]] = taken.get(groups[seq], 0) + 1
     return {k[0] for k in kept}
 
 
@@ -67,6 +71,42 @@ def test_copies_of_a_spot_make_no_edges(spark):
     assert got == sequential(rows[:-2]) | {2000, 2001}
 
 
+def test_a_row_over_the_cap_rejects_nothing(spark):
+    """Two boards of one panorama, a third beside the second: the loop keeps 1 and 3 at cap 1."""
+    rows = [(1, 38.0, 45.0, None, None), (2, 38.01, 45.0, None, None), (3, 38.01, 45.0001, None, None)]
+    df = spark.createDataFrame([(*x, p) for x, p in zip(rows, "aab")], SCHEMA + ", panoid string")
+    assert {x.seq for x in first_fit_boards(df, group="panoid", cap=1).collect()} == {1, 3}
+
+
+def test_cap_within_the_rounds_equals_the_sequential_loop(spark):
+    r = random.Random(21)
+    rows = random_rows(r, 220)
+    groups = {x[0]: r.choice([None, *"abcdefgh"]) for x in rows}
+    df = spark.createDataFrame([(*x, groups[x[0]]) for x in rows], SCHEMA + ", panoid string")
+    for cap in (1, 4):
+        got = {x.seq for x in first_fit_boards(df, group="panoid", cap=cap).collect()}
+        assert got == sequential(rows, groups, cap)
+    lost = spark.createDataFrame([(i, None, None, None, None, "a") for i in range(5)], SCHEMA + ", panoid string")
+    assert {x.seq for x in first_fit_boards(lost, group="panoid", cap=2).collect()} == {0, 1}
+
+
+def test_rounds_equal_the_task_that_decides_the_rest(spark):
+    for seed in range(3):
+        r = random.Random(seed)
+        n = 70
+        of = {i: r.choice([None, "a", "b", "c", "d"]) for i in range(n)}
+        edges = sorted({tuple(sorted(r.sample(range(n), 2))) for _ in range(120)})
+        nodes, e = spark.createDataFrame(list(of.items()), "seq long, of string"), spark.createDataFrame(edges, "earlier long, later long")
+        for cap in (None, 3):
+            kept, taken = set(), {}
+            for i in range(n):
+                if not any(a in kept for a, b in edges if b == i) and not (cap and of[i] and taken.get(of[i], 0) >= cap):
+                    kept.add(i)
+                    taken[of[i]] = taken.get(of[i], 0) + 1
+            for tail in (0, 1000):
+                assert {x.seq for x in first_fit(nodes, e, "of", cap, tail=tail).collect()} == kept, (seed, cap, tail)
+
+
 def test_chain_keeps_both_ends_and_empty(spark):
     nodes = spark.createDataFrame([(1,), (2,), (3,), (None,)], "seq long")
     edges = spark.createDataFrame([(1, 2), (2, 3)], "earlier long, later long")
