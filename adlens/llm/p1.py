@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.survivors import fuse
+from adlens.llm.survivors import by_rule, fuse
 from adlens.session import table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuse(table(spark, sf_dir, "banners")).select("banner_id", "field_name", "seq")
+    """Survivors under the stated rule, the prior that leaves the votes nothing to decide."""
+    return by_rule(table(spark, sf_dir, "banners")).select("banner_id", "field_name", "seq")
 
 
 def p1_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survivors under a flat prior: the value that the sources' discounted votes favour."""
-    return fuse(table(spark, sf_dir, "banners"), by_rule=False).withColumn("posterior", F.round("posterior", 6))
+    return fuse(table(spark, sf_dir, "banners")).withColumn("posterior", F.round("posterior", 6))
 
 
 QUERIES = {"p1_found": p1_found, "p1_fused": p1_fused}
