@@ -1,17 +1,19 @@
 """One consistent form for text that looks the same but is stored in other characters.
 
-Tokens run through a trie of canonical spellings by a weighted edit automaton. A look-alike
-of another alphabet, a full-width form and an ignorable character cost nothing; any other
-edit costs one and is only taken within a budget (0 unless asked for). Among the words
-reached at the lowest cost the most frequent is the canonical spelling. Tokens that reach
-no word are normalised by the table: the alphabet is the one that the token's unmistakable
-letters belong to.
+Tokens run, as they are stored, through a trie of canonical spellings by a weighted edit
+automaton. A look-alike of another alphabet, a full-width form, a separate mark and an
+ignorable character cost nothing; any other edit costs one. Among the words reached at no
+cost the most frequent is the canonical spelling. A disguised token that reaches none may
+take one edit, and the word then reached tells its alphabet. Tokens that reach no word are
+normalised by the table: the alphabet is the one that the token's unmistakable letters
+belong to. What stands between tokens (spaces, digits, signs) has a table of its own.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterable
 
 # Letters drawn alike, Latin first, Cyrillic second, Greek after them.
@@ -41,6 +43,7 @@ HOST = re.compile(rf"[\w{IGNORABLE}.+-]*@[\w{IGNORABLE}.-]+|[\w{IGNORABLE}-]+(?:
 _IGNORE = re.compile(f"[{IGNORABLE}]")
 _MARK = re.compile(f"[{MARKS}]")
 _SPACE = re.compile(f"[{SPACES}]")
+_WIDE = re.compile(f"[{FULL_WIDTH}]")
 TO: dict[str, dict[str, str]] = {"latin": {}, "cyrillic": {}}
 for _group in LOOKALIKES:
     for _c in _group:
@@ -98,6 +101,44 @@ def by_table(token: str) -> str:
     return "".join(table.get(c, c) if k != to else c for c, k in zip(token, kinds))
 
 
+_READ: dict[tuple[str, str], frozenset[str]] = {}
+
+
+def _read(c: str, marks: str) -> frozenset[str]:
+    """Lower-case letters that a stored letter with separate marks reads as at no cost."""
+    known = _READ.get((c, marks))
+    if known is None:
+        if "！" <= c <= "～":
+            c = chr(ord(c) - 0xFEE0)
+        base, *own = unicodedata.normalize("NFD", c) if c not in TWINS else c
+        ways = set()
+        for t in TWINS.get(base, base):
+            one = unicodedata.normalize("NFC", t + "".join(own) + marks)
+            # A mark that makes no letter (a stress, a cedilla) is read over.
+            ways.add((one if len(one) == 1 else unicodedata.normalize("NFC", t + "".join(own))[:1]).lower())
+        if len(_READ) > 10_000:
+            _READ.clear()
+        known = _READ[c, marks] = frozenset(ways)
+    return known
+
+
+def places(token: str) -> list[frozenset[str]]:
+    """The letters of a stored token, each as what it reads as; ignorable characters are skipped."""
+    out: list[frozenset[str]] = []
+    i, n = 0, len(token)
+    while i < n:
+        c, i = token[i], i + 1
+        if _IGNORE.match(c):
+            continue
+        marks = ""
+        while i < n and (_MARK.match(token[i]) or _IGNORE.match(token[i])):
+            marks += token[i] if _MARK.match(token[i]) else ""
+            i += 1
+        if not _MARK.match(c):
+            out.append(_read(c, marks))
+    return out
+
+
 class SpellingTrie:
     """Trie of lower-case canonical words with their frequencies."""
 
@@ -114,20 +155,17 @@ class SpellingTrie:
         node[""] = (max(n, node.get("", (0, ""))[0]), word)
 
     def find(self, token: str, budget: int = 0) -> tuple[float, int, str] | None:
-        """(cost, frequency, word) of the best word within the budget."""
+        """(cost, frequency, word) of the best word within the budget, for a token as it is stored."""
         key = (token, budget)
         if key not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            self.known[key] = self._find(token, budget)
+            self.known[key] = self._find(places(token), budget)
         return self.known[key]
 
-    def _find(self, token: str, budget: int) -> tuple[float, int, str] | None:
+    def _find(self, token: list[frozenset[str]], budget: int) -> tuple[float, int, str] | None:
         live: list[tuple[dict, int]] = [(self.root, 0)]
-        for c in token:
-            if _IGNORE.match(c) or _MARK.match(c):
-                continue
-            ways = {t.lower() for t in TWINS.get(c, c)}
+        for ways in token:
             after: dict[int, tuple[dict, int]] = {}
 
             def reach(node: dict, cost: int, after: dict = after) -> None:
@@ -187,7 +225,6 @@ def compose(text: str) -> tuple[str, list[int]]:
 
 _WORD = re.compile(r"[^\W\d_]+")
 _LABEL = re.compile(r"[A-Za-z0-9_-]{2,}")
-_CYRILLIC = re.compile(f"[{CYRILLIC}]")
 _FIXED: dict[str, str] = {}
 
 
@@ -213,17 +250,21 @@ def plain(text: str) -> str:
     return plain_map(text)[0]
 
 
+#: Letters from which a token may take one edit to the word that tells its alphabet.
+EDITED = 6
+
+
 class Normaliser:
     """Whole values: is one disguised, and what is its consistent form.
 
-    With `compared`, the words hold the more frequent of every two whole-word twins, which then
-    decides on short Latin words too; without, these need something that speaks for Cyrillic.
+    `words` are the canonical spellings with their frequencies; of two whole-word twins the
+    more frequent decides, so an ordinary Latin word stays and one made of Latin letters
+    that is common in Cyrillic doesn't.
     """
 
-    def __init__(self, words: Iterable[tuple[str, int]], compared: bool = False):
+    def __init__(self, words: Iterable[tuple[str, int]]):
         self.trie = SpellingTrie(words)
-        self.compared = compared
-        self.tokens: dict[str, str] = {}
+        self.tokens: dict[str, tuple[str, str]] = {}
         self.learnt: set[str] = set()
 
     def learn(self, words: Iterable[tuple[str, int]]) -> None:
@@ -236,55 +277,80 @@ class Normaliser:
             self.trie.known.clear()
             self.tokens.clear()
 
-    def token(self, token: str) -> str:
-        """Canonical spelling of a composed token, in the token's own case."""
+    def token(self, token: str) -> tuple[str, str]:
+        """(consistent spelling of a stored token in its own case, what decided: trie, edit, table)."""
         known = self.tokens.get(token)
         if known is None:
             if len(self.tokens) > 200_000:
                 self.tokens.clear()
-            fixed = by_table(token)
-            hit = self.trie.find(token) if fixed != token or ambiguous(token) or not token.isascii() and script(token[0]) == "greek" else None
-            if hit and len(hit[2]) == len(token):
-                fixed = "".join(self._cased(c, w) for c, w in zip(token, hit[2]))
-            known = self.tokens[token] = fixed
+            known = self.tokens[token] = self._spelling(token)
         return known
 
-    @staticmethod
-    def _cased(c: str, w: str) -> str:
-        return w.upper() if c.isupper() else w
-
-    def value(self, text: str) -> tuple[str, bool]:
-        """(consistent form, whether the value holds a disguise)."""
-        found = bool(EXOTIC.search(text))
-        out = compose(text)[0] if found else text
-        hosts: list[tuple[int, int]] | None = None
+    def _spelling(self, token: str) -> tuple[str, str]:
+        hit = self.trie.find(token)
+        letters = compose(token)[0] if EXOTIC.search(token) else token
+        if hit and len(hit[2]) == len(letters):
+            return "".join(w.upper() if c.isupper() else w for c, w in zip(letters, hit[2])), "trie"
+        plain_ = by_table(letters)
+        if plain_ != token and len(letters) >= EDITED and (hit := self.trie.find(token, 1)):
+            kind = "cyrillic" if script(hit[2][0]) == "cyrillic" else "latin"
+            to = "".join(c if script(c) == kind else TO[kind].get(c, c) for c in letters)
+            if len({script(c) for c in to} - {"other"}) == 1:
+                return to, "edit"
+        return plain_, "table"
+
+    def value(self, text: str) -> tuple[str, str]:
+        """(consistent form, what found a disguise: trie, edit, table or signs; empty if none is there)."""
+        latin: Latin | None = None
         parts: list[str] = []
+        by: set[str] = set()
         done = 0
-        for m in _WORD.finditer(out):
+        for m in TOKEN.finditer(text):
             w = m.group()
-            if w.isascii():
-                if not ambiguous(w):
-                    continue
-                if hosts is None:
-                    # Initials with dots are no host, nor is anything with a Cyrillic letter.
-                    hosts = [h.span() for h in HOST.finditer(out) if h.group().isascii() and _LABEL.search(h.group())]
-                if any(a <= m.start() and m.end() <= b for a, b in hosts) or self._hyphened(out, m):
-                    continue
-                if not self.compared and len(w) <= 3 and not _CYRILLIC.search(out):
-                    continue  # a few Latin letters alone, with nothing that speaks for Cyrillic
-            fixed = self.token(w)
+            letters = compose(w)[0] if _WIDE.search(w) else w
+            if letters.isascii() and (not ambiguous(letters) or (latin := latin or Latin(text)).owns(*m.span())):
+                if letters != w:
+                    by.add("signs")
+                    parts += (self._between(text[done : m.start()], by), letters)
+                    done = m.end()
+                continue  # no letter has a twin, or Latin letters are at home here
+            fixed, how = self.token(w)
             if fixed != w:
-                found = True
-                parts += (out[done : m.start()], fixed)
+                by.add(how)
+                parts += (self._between(text[done : m.start()], by), fixed)
                 done = m.end()
-        return ("".join(parts) + out[done:] if parts else out), found
+        rest = self._between(text[done:], by)
+        found = next((k for k in ("trie", "edit", "table", "signs") if k in by), "")
+        return ("".join(parts) + rest if parts else rest), found
 
     @staticmethod
-    def _hyphened(text: str, m: re.Match) -> bool:
-        """Part of a hyphenated Latin word with an unmistakable Latin letter (e-mail)."""
-        a, b = m.span()
+    def _between(text: str, by: set[str]) -> str:
+        """Spaces, full-width signs and stray marks of a stretch whose tokens are in order."""
+        if not EXOTIC.search(text):
+            return text
+        by.add("signs")
+        return compose(text)[0]
+
+
+class Latin:
+    """Where a text's Latin letters are at home: host and mail names, hyphenated Latin words (e-mail).
+
+    Initials with dots are no host, nor is anything with a Cyrillic letter.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.at = compose(text) if EXOTIC.search(text) else (text, range(len(text)))
+        self.hosts = [h.span() for h in HOST.finditer(self.text) if h.group().isascii() and _LABEL.search(h.group())]
+
+    def owns(self, start: int, end: int) -> bool:
+        """Of a place in the stored text."""
+        a, b = bisect_left(self.at, start), bisect_left(self.at, end)
+        return any(x <= a and b <= y for x, y in self.hosts) or self._hyphened(a, b)
+
+    def _hyphened(self, start: int, end: int) -> bool:
+        text, a, b = self.text, start, end
         while a and (text[a - 1] == "-" or text[a - 1].isalpha()):
             a -= 1
         while b < len(text) and (text[b] == "-" or text[b].isalpha()):
             b += 1
-        return b - a > m.end() - m.start() and any("A" <= c <= "z" and c.isalpha() and c not in TO["cyrillic"] for c in text[a:b])
+        return b - a > end - start and any("A" <= c <= "z" and c.isalpha() and c not in TO["cyrillic"] for c in text[a:b])

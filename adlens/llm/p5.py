@@ -5,16 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm import charforms as cf
-from adlens.session import spread, table
+from adlens.session import shared_dir, spread, table
 
 FIELDS = ("text", "advertiser")
-#: Canonical words that the trie holds besides the fully ambiguous ones.
-VOCABULARY = 20_000
+#: Least share of all words that a canonical word has, so there are at most 1 / SHARE of them at any size of the corpus.
+SHARE = 1e-5
 #: Fully ambiguous words that may be broadcast; more than these are looked up by a join.
 MAX_AMBIGUOUS = 200_000
 
@@ -40,9 +39,12 @@ CYRILLIC = "".join({"b": "в", "h": "н", "k": "к", "m": "м", "t": "т"}.get(c
 def spellings(cells: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None]:
     """Canonical words, and a table (shape, word, n) of the fully ambiguous ones if they are too many.
 
-    Of two whole-word twins the more frequent is kept, so an ordinary Latin word stays.
+    Of two whole-word twins the more frequent is kept, so an ordinary Latin word stays;
+    these are all kept, however rare. Rarer words of other letters need no entry: the table
+    of letters gives them their alphabet.
     """
-    counts = word_counts(cells).persist(StorageLevel.MEMORY_AND_DISK)
+    shared_dir(cells.sparkSession)
+    counts = word_counts(cells).checkpoint()
     both = f"^[{cf.AMBIGUOUS_CYRILLIC.lower()}]+$|^[{cf.AMBIGUOUS_LATIN.lower()}]+$"
     twins = (
         counts.filter(F.col("word").rlike(both))
@@ -51,11 +53,11 @@ def spellings(cells: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None
         .select("shape", "best.word", "best.n")
     )
     # Merged by a task, not by the driver, which would get every partition's share.
-    words = counts.filter("n >= 2").filter(~F.col("word").rlike(both)).orderBy(F.desc("n"), "word").limit(VOCABULARY).repartition(1).collect()
+    least = (counts.agg(F.sum("n")).first()[0] or 0) * SHARE
+    words = counts.filter(F.col("n") >= least).filter(~F.col("word").rlike(both)).repartition(1).sortWithinPartitions("word").collect()
     known = twins.limit(MAX_AMBIGUOUS + 1).collect()
     if len(known) > MAX_AMBIGUOUS:
         return [(r.word, r.n) for r in words], twins
-    counts.unpersist()
     return [(r.word, r.n) for r in (*words, *known)], None
 
 
@@ -72,11 +74,14 @@ def hinted(cells: DataFrame, twins: DataFrame) -> DataFrame:
 
 
 def consistent(banners: DataFrame) -> DataFrame:
-    """(seq, field_name, value, form, disguised) of every value that needs a closer look.
+    """(seq, field_name, value, form, by) of every value that needs a closer look.
+
+    `by` tells what found a disguise: the trie of spellings, one edit in it, the table of
+    letters, or that of signs; it is empty where there is none.
 
     Values of Cyrillic letters and plain signs alone are skipped by the JVM unless one of
-    their words may be a Latin one in look-alikes: they are in consistent form already. Nulls have no row, empty values and those of any length are
-    handled whole, repeated rows keep their own seq, an empty table gives no rows.
+    their words may be a Latin one in look-alikes: they are in consistent form already.
+    Nulls have no row, empty values and those of any length are handled whole, repeated rows keep their own seq, an empty table gives no rows.
     """
     cells = values(spread(banners.select("seq", *FIELDS)))
     words, twins = spellings(cells)
@@ -85,32 +90,32 @@ def consistent(banners: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
-            made.append(cf.Normaliser(shared.value, compared=True))
+            made.append(cf.Normaliser(shared.value))
         for batch in batches:
             if batch.num_columns > 3:
                 if len(made[0].learnt) > MAX_AMBIGUOUS:  # bounds a worker's memory
-                    made[0] = cf.Normaliser(shared.value, compared=True)
+                    made[0] = cf.Normaliser(shared.value)
                 for hints in batch.column(3).to_pylist():
                     made[0].learn((h["word"], h["n"]) for h in hints or ())
             done = [made[0].value(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.bool_())],
-                names=["seq", "field_name", "value", "form", "disguised"],
+                [*batch.columns[:3], pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.string())],
+                names=["seq", "field_name", "value", "form", "by"],
             )
 
     looked = cells.filter(F.col("value").rlike(cf.LOOK) | F.col("value").rlike(WHOLE_CYRILLIC))
     if twins is not None:
         looked = hinted(looked, twins)
-    return looked.mapInArrow(run, "seq long, field_name string, value string, form string, disguised boolean")
+    return looked.mapInArrow(run, "seq long, field_name string, value string, form string, by string")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consistent(table(spark, sf_dir, "banners")).filter("disguised").select("seq", "field_name")
+    return consistent(table(spark, sf_dir, "banners")).filter("by <> ''").select("seq", "field_name")
 
 
 def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consistent form of every disguised value."""
-    return consistent(table(spark, sf_dir, "banners")).filter("disguised").select("seq", "field_name", "form")
+    return consistent(table(spark, sf_dir, "banners")).filter("by <> ''").select("seq", "field_name", "form")
 
 
 QUERIES = {"p5_found": p5_found, "p5_forms": p5_forms}
