@@ -1,11 +1,11 @@
 """Freely typed values mapped to the entries of a reference list.
 
-A value is normalised (characters, case, misread digits, frames like legal forms), its
-character n-grams look up entries in an inverted index, the entries are scored by weighted
-cosine, and the best is accepted above a threshold if it leads the next entry by a margin.
-An edit-distance check of the entry's own words follows. The index holds the reference
-list only; values are read in place and repeated ones answered from a worker's memory, so
-no row moves.
+A value is normalised (characters, case, misread digits, frames like legal forms) and cut
+into words; the words' character n-grams look up entry words in an inverted index, which
+gives the weighted cosine of each pair of words met. An entry's score is the smaller of its
+words' weighted mean and its least telling word's cosine; the best entry is accepted above
+a threshold if it leads the next one by a margin. An exact check, the count of edits, follows
+where the score is near the threshold or the margin is missing.
 """
 
 from __future__ import annotations
@@ -51,14 +51,18 @@ def transliterated(text: str) -> str:
     return "".join(TRANSLIT.get(c, c) for c in text)
 
 
-def grams(words: Iterable[str]) -> dict[str, int]:
-    """Counts of the 2- and 3-grams of words, with their ends marked."""
+def grams(word: str) -> dict[str, int]:
+    """Counts of a word's letters, and of its neighbouring letters in their order and in none.
+
+    Ends are marked. Pairs in no order let two swapped letters keep what they share.
+    """
     out: dict[str, int] = defaultdict(int)
-    for w in words:
-        w = f"<{w}>"
-        for n in (2, 3):
-            for i in range(len(w) - n + 1):
-                out[w[i : i + n]] += 1
+    marked = f"<{word}>"
+    for c in word:
+        out[c] += 1
+    for a, b in zip(marked, marked[1:]):
+        out[a + b] += 1
+        out["~" + min(a, b) + max(a, b)] += 1
     return out
 
 
@@ -89,31 +93,48 @@ class Entry:
     target: str
 
 
+@dataclass(frozen=True)
+class Match:
+    target: str  # empty: none
+    score: float
+    by: str  # cosine, or check where that decided otherwise; empty without a target
+
+
 class Matcher:
-    def __init__(self, entries: Iterable[tuple[str, str]], threshold: float = 0.18, margin: float = 0.02):
-        """entries: (spelling, target) pairs; one target may have many spellings."""
-        self.threshold, self.margin = threshold, margin
+    #: Cosines of words below this are not looked at: twice as much is needed for any decision.
+    LEAST = 0.2
+
+    def __init__(self, entries: Iterable[tuple[str, str]], threshold: float = 0.6, margin: float = 0.02, near: float = 0.2):
+        """entries: (spelling, target) pairs; one target may have many spellings.
+
+        Scores within `near` of the threshold are checked for edits.
+        """
+        self.threshold, self.margin, self.low, self.sure = threshold, margin, threshold - near, threshold + near
         pairs = [(tuple(w for w in normal(s).split() if w not in FRAME), t) for s, t in entries]
-        in_targets: dict[str, set[str]] = defaultdict(set)
+        of: dict[str, set[str]] = defaultdict(set)
         for words, t in pairs:
             for w in words:
-                in_targets[w].add(t)
+                of[w].add(t)
         #: Words that many targets end in tell nothing when another word is there.
-        self.generic = {w for w, t in in_targets.items() if len(t) >= 3 and any(len(p) > 1 and p[-1] == w for p, _ in pairs)}
-        self.exact: dict[str, str | None] = {}
-        self.entries: list[Entry] = []
-        for words, t in dict.fromkeys(pairs):
-            if not words:
-                continue
-            key = " ".join(words)
-            self.exact[key] = t if self.exact.get(key, t) == t else None
-            self.entries.append(Entry(words, t))
+        self.generic = {w for w, t in of.items() if len(t) >= 3 and any(len(p) > 1 and p[-1] == w for p, _ in pairs)}
+        self.entries = [Entry(words, t) for words, t in dict.fromkeys(pairs) if words]
+        self.words = sorted({w for e in self.entries for w in e.words})
+        place = {w: i for i, w in enumerate(self.words)}
+        targets = len({e.target for e in self.entries})
+        self.weight = [log(1 + targets / len(of[w])) * len(w) for w in self.words]
+        self.parts: list[tuple[list[int], list[int]]] = []  # words of each entry: all, telling
+        self.holding: list[list[int]] = [[] for _ in self.words]
+        for j, e in enumerate(self.entries):
+            at = [place[w] for w in e.words]
+            self.parts.append((at, [i for i in at if self.words[i] not in self.generic] or at))
+            for i in set(at):
+                self.holding[i].append(j)
+        vectors = [grams(w) for w in self.words]
         df: dict[str, int] = defaultdict(int)
-        vectors = [grams(e.words) for e in self.entries]
         for v in vectors:
             for g in v:
                 df[g] += 1
-        n = max(1, len(self.entries))
+        n = max(1, len(self.words))
         self.idf = {g: log(1 + n / d) for g, d in df.items()}
         self.unseen = log(1 + n)
         self.index: dict[str, list[tuple[int, float]]] = defaultdict(list)
@@ -121,23 +142,47 @@ class Matcher:
             norm = sqrt(sum((c * self.idf[g]) ** 2 for g, c in v.items()))
             for g, c in v.items():
                 self.index[g].append((i, c * self.idf[g] / norm))
-
-    def candidates(self, words: list[str]) -> list[tuple[float, list[int]]]:
-        """(cosine, entries) of the targets above the threshold, each with its entries, best first."""
-        score: dict[int, float] = defaultdict(float)
-        square = 0.0
-        for g, c in grams(words).items():
-            w = c * self.idf.get(g, self.unseen)
-            square += w * w
-            for i, x in self.index.get(g, ()):
-                score[i] += w * x
-        norm = sqrt(square) or 1.0
-        best: dict[str, list[tuple[float, int]]] = defaultdict(list)
-        for i, s in score.items():
-            if s >= self.threshold * norm:
-                best[self.entries[i].target].append((s / norm, i))
-        ranked = sorted((sorted(x, reverse=True) for x in best.values()), reverse=True)
-        return [(x[0][0], [i for _, i in x]) for x in ranked]
+        self.known: dict[str, dict[int, float]] = {}
+
+    def cosines(self, word: str) -> dict[int, float]:
+        """Entry words by cosine to a value's word, from the inverted index."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            dot: dict[int, float] = defaultdict(float)
+            square = 0.0
+            for g, c in grams(word).items():
+                w = c * self.idf.get(g, self.unseen)
+                square += w * w
+                for i, x in self.index.get(g, ()):
+                    dot[i] += w * x
+            norm = sqrt(square) or 1.0
+            found = self.known[word] = {i: d / norm for i, d in dot.items() if d >= self.LEAST * norm}
+        return found
+
+    def candidates(self, words: list[str]) -> list[tuple[float, float, str, list[int]]]:
+        """(rank, score, target, its entries, best first) of every target met, best first."""
+        best: dict[int, float] = {}
+        for v in words:
+            stems = [v]
+            if len(v) >= 6 and (m := NAME_END.search(v)):
+                stems.append(v[: m.start()])
+            for s in stems:
+                for i, c in self.cosines(s).items():
+                    if c > best.get(i, 0.0):
+                        best[i] = c
+        targets: dict[str, list[tuple[float, float, int]]] = defaultdict(list)
+        for j in {j for i in best for j in self.holding[i]}:
+            every, telling = self.parts[j]
+            whole = sum(self.weight[i] * best.get(i, 0.0) for i in every) / sum(self.weight[i] for i in every)
+            least = min(best.get(i, 0.0) for i in telling)
+            targets[self.entries[j].target].append(((whole + least) / 2, min(whole, least), j))
+        out = []
+        for t, found in targets.items():
+            found.sort(reverse=True)
+            out.append((found[0][0], found[0][1], t, [j for _, _, j in found]))
+        return sorted(out, key=lambda x: (-x[0], -x[1], x[2]))
 
     def distance(self, entry: Entry, words: list[str]) -> float | None:
         """Edits per letter of the entry's words in the value; None if a telling word isn't there.
@@ -164,23 +209,28 @@ class Matcher:
             d = min(d, edits(w, v[: m.start()], most))
         return d
 
-    def match(self, value: str) -> tuple[str, float]:
-        """(target or empty, cosine)."""
-        words = normal(value).split()
+    def match(self, value: str) -> Match:
+        return self.match_normal(normal(value))
+
+    def match_normal(self, form: str) -> Match:
+        words = form.split()
         core = [w for w in words if w not in FRAME] or words
-        hit = self.exact.get(" ".join(core))
-        if hit:
-            return hit, 1.0
         found = self.candidates(core)
-        scored = []
-        for cosine, entries in found:
-            near = [d for i in entries if (d := self.distance(self.entries[i], core)) is not None]
-            if near:
-                scored.append((cosine - min(near), cosine, self.entries[entries[0]].target))
-        scored.sort(reverse=True)
-        if not scored or len(scored) > 1 and scored[0][0] - scored[1][0] < self.margin:
-            return "", found[0][0] if found else 0.0
-        return scored[0][2], scored[0][1]
+        if not found:
+            return Match("", 0.0, "")
+        rank, score, target, _ = found[0]
+        clear = len(found) < 2 or rank - found[1][0] >= self.margin
+        taken = target if clear and score >= self.threshold else ""
+        if clear and not self.low <= score < self.sure:
+            return Match(taken, score, "cosine" if taken else "")
+        near = []
+        for r, s, t, entries in found:
+            if s >= self.low and (d := [x for j in entries if (x := self.distance(self.entries[j], core)) is not None]):
+                near.append((r - min(d), s, t))
+        near.sort(key=lambda x: (-x[0], x[2]))
+        if near and (len(near) < 2 or near[0][0] - near[1][0] >= self.margin):
+            return Match(near[0][2], near[0][1], "cosine" if near[0][2] == taken else "check")
+        return Match("", score, "check" if taken else "")
 
 
 def directory(brands: Iterable[dict]) -> tuple[Matcher, Matcher]:

@@ -17,19 +17,19 @@ def test_names():
         "ЖК Изумрудные террасы": "Бангесфей", "Балдейпе": "Балдейпе Групп", "bangesfey.example.com": "Бангесфей", "000 «Шутрыр Групп»": "Шутрыр Групп", "Вектор Групп Фарфенчут": "",
         "частное лицо": "", "—": "", "Групп": "", "Оптика «Фавейбон»": "",
     }.items():
-        assert names.match(value)[0] == want, value
+        assert names.match(value).target == want, value
     for value, want in {
         "ЖК «Изумрдные  терасы»": "Изумрудные террасы", "izumrudnye melnitsy": "Изумрудные мельницы", "Полынный амяк": "Полынный маяк", "ПОЛЫННЫЙ ПРИЧАЛ (2 очередь)": "Полынный причал",
         "Старая пристань плюс": "", "Южный ковчег-2": "", "П0лынный причал": "Полынный причал",
     }.items():
-        assert complexes.match(value)[0] == want, value
+        assert complexes.match(value).target == want, value
 
 
 def test_every_candidate_is_checked():
     street = "изумрудные террасы вересковый причал северное сияние полынный хутор янтарный"
     others = [f"{street} {w}" for w in ("баржа", "грушевый", "дюжина", "жёлудь", "кубок", "щегол", "эхо")]
-    assert Matcher([*((s, s) for s in others), ("тополь", "П")]).match(f"{street} тополь")[0] == "П"  # many targets
-    assert Matcher([*((s, "П") for s in others), ("тополь", "П")]).match(f"{street} тополь")[0] == "П"  # many entries of one
+    assert Matcher([*((s, s) for s in others), ("тополь", "П")]).match(f"{street} тополь").target == "П"  # many targets
+    assert Matcher([*((s, "П") for s in others), ("тополь", "П")]).match(f"{street} тополь").target == "П"  # many entries of one
 
 
 def test_pieces():
