@@ -8,7 +8,10 @@ table look-ups, and whole batches of texts are decoded together.
 
 from __future__ import annotations
 
+import json
+from collections import Counter
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 import numpy as np
 
@@ -47,12 +50,8 @@ class Chain:
         if known is None:
             known = self.type[token] = len(self.type)
             atoms = self.atoms_of(token)
-            if grow:
-                ids = [self.atom.setdefault(a, len(self.atom)) for a in atoms]
-                s = self.shape.setdefault(self.shape_of(token), len(self.shape))
-            else:
-                ids = [self.atom[a] for a in atoms if a in self.atom]
-                s = self.shape.get(self.shape_of(token), 1)
+            ids = [self.atom[a] for a in atoms if a in self.atom]
+            s = self.shape.setdefault(self.shape_of(token), len(self.shape)) if grow else self.shape.get(self.shape_of(token), 1)
             self.type_atoms.append(ids)
             self.type_shape.append(s)
         return known
@@ -76,12 +75,26 @@ class Chain:
         out += self.weights["right"][shapes[:, 2 : 2 + width], shapes[:, 3 : 3 + width]]
         return out
 
-    def fit(self, texts: Sequence[Sequence[str]], tags: Sequence[Sequence[str]], epochs: int = 14, batch: int = 64, rate: float = 0.08, decay: float = 2e-4, seed: int = 7) -> Chain:
-        """Maximum likelihood by Adam over shuffled batches; deterministic for a seed."""
+    def fit(self, texts: Sequence[Sequence[str]], tags: Sequence[Sequence[str]], epochs: int = 14, batch: int = 64, rate: float = 0.08, decay: float = 2e-4, seed: int = 7, least: int = 4) -> Chain:
+        """Maximum likelihood by Adam over shuffled batches, its rate falling to zero; deterministic for a seed.
+
+        Atoms of fewer than `least` tokens get no weight: a rare word is known by its shape
+        and surroundings only.
+        """
         rng = np.random.default_rng(seed)
+        times = Counter(w for t in texts for w in t)
+        counted: Counter = Counter()
+        for w, n in times.items():
+            for a in self.atoms_of(w):
+                counted[a] += n
+        self.atom = {a: i for i, a in enumerate(sorted(a for a, n in counted.items() if n >= least))}
         grid, lengths = self._grid(texts, grow=True)
         n_labels, n_types, n_atoms, n_shapes = len(self.labels), len(self.type), len(self.atom), len(self.shape)
         # Atoms of all types in one row; every type but the blank has some.
+        # Every type has its shape's and gap's atom, but a rare type's may be too rare: the last row takes these.
+        self.atom["?"] = len(self.atom)
+        self.type_atoms[1:] = [a or [self.atom["?"]] for a in self.type_atoms[1:]]
+        n_atoms = len(self.atom)
         flat = np.array([a for atoms in self.type_atoms for a in atoms], dtype=np.int64)
         counts = np.array([len(a) for a in self.type_atoms])
         owner, starts = np.repeat(np.arange(n_types), counts), np.concatenate([[0], np.cumsum(counts[1:])[:-1]])
@@ -116,14 +129,33 @@ class Chain:
                     grad[k] = np.zeros_like(w[k])
                     np.add.at(grad[k], (s[:, o : o + width], s[:, o + 1 : o + 1 + width]), delta)
                 step += 1
+                now = rate * (1 - (step - 1) / (epochs * len(parts)))
                 for k, v in w.items():
                     d = grad[k] / len(pick) - decay * v
                     first[k] = 0.9 * first[k] + 0.1 * d
                     second[k] = 0.99 * second[k] + 0.01 * d * d
-                    v += rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
+                    v += now * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
         self._reset()
         return self
 
+    def save(self, path: str | Path) -> None:
+        """Weights in half precision; atoms that weigh next to nothing are left out."""
+        names = list(self.atom)
+        keep = [i for i, a in enumerate(names) if max(np.abs(self.weights[f"atoms{k}"][i]).max() for k in range(len(OFFSETS))) >= 0.02]
+        head = {"labels": self.labels, "atoms": [names[i] for i in keep], "shapes": list(self.shape)}
+        arrays = {k: (w[keep] if k.startswith("atoms") else w).astype(np.float16) for k, w in self.weights.items()}
+        np.savez_compressed(path, head=np.frombuffer(json.dumps(head, ensure_ascii=False).encode(), np.uint8), **arrays)
+
+    @classmethod
+    def load(cls, path: str | Path, atoms_of: Callable[[str], list[str]], shape_of: Callable[[str], str]) -> Chain:
+        with np.load(path) as z:
+            head = json.loads(z["head"].tobytes().decode())
+            made = cls(head["labels"], atoms_of, shape_of)
+            made.atom = {a: i for i, a in enumerate(head["atoms"])}
+            made.shape = {s: i for i, s in enumerate(head["shapes"])}
+            made.weights = {k: z[k].astype(np.float32) for k in z.files if k != "head"}
+        return made
+
     def _gradient(self, e: np.ndarray, lengths: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Observed minus expected label counts by position, transition and start."""
         n, width, n_labels = e.shape

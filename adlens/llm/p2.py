@@ -8,21 +8,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.pii import redact, spans, trained
+from adlens.llm.pii import redact, spans, tagger
 from adlens.session import spread, table
 
 #: Texts tagged at once by a worker.
 BATCH = 2_000
 
 
-def tagged(texts: DataFrame, labelled_rows: int = 1500) -> DataFrame:
+def tagged(texts: DataFrame) -> DataFrame:
     """(seq, redacted, found: array of (kind, value)) of rows (seq, text).
 
-    The model is trained on the driver from `labelled_rows` made texts and broadcast (some
-    thousand weights). Null texts have no row, empty ones nothing found; texts of any
+    The model comes with the package and is broadcast (some thousand weights). Null texts have no row, empty ones nothing found; texts of any
     length are tagged whole; repeated rows are tagged again; an empty table gives no rows.
     """
-    model = texts.sparkSession.sparkContext.broadcast(trained(labelled_rows))
+    model = texts.sparkSession.sparkContext.broadcast(tagger())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("seq", pa.int64()), ("redacted", pa.string()), ("found", pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())])))])

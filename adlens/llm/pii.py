@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from functools import lru_cache
+from pathlib import Path
 
 from adlens.llm.charforms import TO, ambiguous, plain_map
 from adlens.llm.crf import Chain
-from adlens.llm.pii_table import GIVEN, labelled
+from adlens.llm.pii_table import labelled
 
 KINDS = ("phone", "email", "id_number", "address", "name")
 PLACEHOLDER = {"phone": "[PHONE]", "email": "[EMAIL]", "id_number": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
@@ -35,11 +36,11 @@ def tokens(text: str) -> tuple[list[str], list[tuple[int, int]]]:
 
 
 def _meant(w: str) -> str:
-    """Digits where letters were misread in a run of digits; a given name all in look-alike letters."""
+    """Digits where letters were misread in a run of digits; a capitalised word all in look-alike letters."""
     if MISREAD.fullmatch(w) and any(c.isdigit() for c in w):
         return w.translate(DIGITS)
-    if w.isascii() and ambiguous(w) and (name := "".join(TO["cyrillic"][c] for c in w)).lower() in GIVEN:
-        return name
+    if len(w) > 2 and w[0].isupper() and w.isascii() and ambiguous(w):
+        return "".join(TO["cyrillic"][c] for c in w)
     return w
 
 
@@ -62,8 +63,6 @@ def atoms(token: str) -> list[str]:
     out = ["s:" + shape(token), "g:" + token[: len(token) - len(w)]]  # the length stays
     if w.isalpha():
         out += ["w:" + low, "e3:" + low[-3:], "e2:" + low[-2:], "b4:" + low[:4], "c:" + ("A" if w.isupper() else "Aa" if w[0].isupper() else "a")]
-        if low in GIVEN:
-            out.append("given")
     elif any(c.isdigit() for c in w):
         out += ["n:" + str(min(13, sum(c.isdigit() for c in w))), "f:" + (w[0] if w[0].isdigit() else "x"), "x:" + re.sub(r"\d+", "9", low)[:8]]
     else:
@@ -71,9 +70,18 @@ def atoms(token: str) -> list[str]:
     return out
 
 
-@lru_cache(maxsize=4)
-def trained(rows: int = 1500, seed: int = 11, epochs: int = 16) -> Chain:
-    """The model, trained from the labelled table of `rows` texts."""
+#: The fitted weights; `python -m adlens.llm.pii` fits them anew.
+WEIGHTS = Path(__file__).with_name("pii_weights.npz")
+
+
+@lru_cache(maxsize=1)
+def tagger() -> Chain:
+    """The fitted model, as stored with the package."""
+    return Chain.load(WEIGHTS, atoms, shape)
+
+
+def fitted(rows: int = 12000, seed: int = 11, epochs: int = 12) -> Chain:
+    """A model trained from the labelled table of `rows` texts."""
     texts, tags = [], []
     for pieces in labelled(rows, seed):
         text = "".join(t for t, _ in pieces)
@@ -151,3 +159,7 @@ def redact(text: str, found: Sequence[Span]) -> str:
         parts += (text[done:a], PLACEHOLDER[kind])
         done = b
     return "".join(parts) + text[done:]
+
+
+if __name__ == "__main__":
+    fitted().save(WEIGHTS)
