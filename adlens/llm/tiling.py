@@ -1,16 +1,18 @@
 """Greedy string tiling with running Karp-Rabin over word sequences.
 
-The held-out passages' words are numbered; a document's words become these numbers (0: a
-word that no passage has). Seeds are hashes of five words in a row. Only documents that
-share enough seeds with a passage are tiled: longest matches of unmarked words are marked
-first, so moved, interrupted and interleaved quotations are all covered.
+Words become numbers of 64 bits by a hash. Seeds are hashes of five words in a row. What a
+document shares with any held-out passage lies in its windows whose seed a passage has, so
+only these runs of words are kept of it. Passages and documents meet by their seeds; each
+pair is tiled: longest matches of unmarked words are marked first, so moved, interrupted
+and interleaved quotations are all covered.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 
@@ -95,45 +97,89 @@ def tile(a: Sequence[int], b: Sequence[int], least: int = SEED, start: int = 16)
         size = max(least, size // 2)
 
 
-class Passages:
-    def __init__(self, items: Iterable[tuple[int, str]], share: float = 0.5):
-        self.share = share
-        self.number: dict[str, int] = {}
-        self.items: list[tuple[int, list[int]]] = []
-        for item_id, text in items:
-            ids = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
-            if len(ids) >= SEED:
-                self.items.append((item_id, ids))
-        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, ids) in enumerate(self.items):
-            for p, h in enumerate(rolling(np.array(ids, dtype=np.int64), SEED).tolist()):
-                places[h].append((k, p))
-        self.places = dict(places)
-        self.seeds = np.array(sorted(self.places), dtype=np.uint64)
-
-    def leaks(self, texts: Sequence[str | None]) -> list[list[int]]:
-        """Ids of the passages that each text leaks."""
-        number = self.number
-        rows = [[number.get(w, 0) for w in words(t)] if t else [] for t in texts]
-        flat = np.fromiter((x for r in rows for x in (*r, 0)), dtype=np.int64)
-        out: list[list[int]] = [[] for _ in rows]
-        if len(flat) < SEED or not len(self.seeds):
-            return out
-        known = flat != 0
-        whole = np.convolve(known, np.ones(SEED, dtype=np.int64), "valid") == SEED
-        at = np.flatnonzero(whole)
-        hashes = rolling(flat, SEED)[at]
-        spot = np.minimum(np.searchsorted(self.seeds, hashes), len(self.seeds) - 1)
-        hit = self.seeds[spot] == hashes
-        ends = np.cumsum([len(r) + 1 for r in rows])
-        covered: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for doc, h in zip(np.searchsorted(ends, at[hit], side="right").tolist(), hashes[hit].tolist()):
-            for k, p in self.places[h]:
-                covered[doc, k].update(range(p, p + SEED))
-        for (doc, k), cells in covered.items():
-            item_id, ids = self.items[k]
-            need = self.share * len(ids)
-            # What the seeds cover bounds what tiles can cover.
-            if len(cells) >= need and sum(n for _, _, n in tile(ids, rows[doc])) >= need:
-                out[doc].append(item_id)
+_NUMBERS: dict[str, int] = {}
+
+
+def numbers(text: str) -> list[int]:
+    """The text's words as numbers of 64 bits, never 0."""
+    known, out = _NUMBERS, []
+    for w in words(text):
+        n = known.get(w)
+        if n is None:
+            if len(known) > 500_000:
+                known.clear()
+            n = known[w] = int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "little", signed=True) or 1
+        out.append(n)
+    return out
+
+
+def seeds(ids: np.ndarray) -> np.ndarray:
+    """Seed of each window of five numbers, as signed 64-bit."""
+    return rolling(ids, SEED).view(np.int64)
+
+
+class SeedFilter:
+    """Bloom filter of seeds: lets every seed of the passages through, and few others.
+
+    Its size follows the number of seeds, up to 2^28 bits (32 MB) for any number.
+    """
+
+    MOST_BITS, PROBES = 1 << 28, 3
+
+    def __init__(self, expected: int, bits: bytes | None = None):
+        size = 1 << 13
+        while size < min(self.MOST_BITS, 12 * expected):
+            size *= 2
+        self.size = np.uint64(size - 1)
+        self.bits = np.zeros(size // 8, np.uint8) if bits is None else np.frombuffer(bits, np.uint8)
+
+    def _places(self, keys: np.ndarray) -> list[np.ndarray]:
+        k = keys.view(np.uint64)
+        step = (k * _BASE) >> np.uint64(31) | np.uint64(1)
+        return [((k ^ (k >> np.uint64(29))) + np.uint64(i) * step) & self.size for i in range(self.PROBES)]
+
+    def add(self, keys: np.ndarray) -> None:
+        for p in self._places(keys):
+            np.bitwise_or.at(self.bits, (p >> np.uint64(3)).astype(np.int64), (1 << (p & np.uint64(7))).astype(np.uint8))
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), dtype=bool)
+        for p in self._places(keys):
+            out &= (self.bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return out
+
+
+def shared_runs(texts: Sequence[str | None], known: SeedFilter) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(place of the text, its runs of words in windows that pass the filter with 0 between runs, their seeds)."""
+    rows = [numbers(t) if t else [] for t in texts]
+    lengths = np.array([len(r) for r in rows], dtype=np.int64)
+    flat = np.fromiter((x for r in rows for x in r), dtype=np.int64, count=int(lengths.sum()))
+    if len(flat) < SEED:
+        return
+    start = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    owner = np.repeat(np.arange(len(rows)), lengths)
+    whole = owner[: len(flat) - SEED + 1] == owner[SEED - 1 :]  # windows within one text
+    keys = seeds(flat)
+    hit = whole.copy()
+    hit[whole] = known.has(keys[whole])
+    at = np.flatnonzero(hit)
+    covered = np.zeros(len(flat) + 1, dtype=np.int64)
+    np.add.at(covered, at, 1)
+    np.add.at(covered, at + SEED, -1)
+    covered = np.cumsum(covered[:-1]) > 0
+    for d in np.unique(owner[at]).tolist():
+        a, b = int(start[d]), int(start[d] + lengths[d])
+        on = covered[a:b]
+        runs: list[int] = []
+        for x, keep, before in zip(flat[a:b].tolist(), on.tolist(), [False, *on[:-1].tolist()]):
+            if keep:
+                runs.append(x)
+            elif before:
+                runs.append(0)
+        own = at[(at >= a) & (at < b)]
+        yield d, runs, np.unique(keys[own]).tolist()
+
+
+def leaks(item: Sequence[int], runs: Sequence[int], share: float) -> bool:
+    """Whether tiles of five words or more cover at least `share` of the item's words."""
+    return sum(n for _, _, n in tile(item, runs)) >= share * len(item)
