@@ -124,11 +124,11 @@ class SeedFilter:
     Its size follows the number of seeds, up to 2^28 bits (32 MB) for any number.
     """
 
-    MOST_BITS, PROBES = 1 << 28, 3
+    MOST_BITS, PROBES = 1 << 28, 4
 
     def __init__(self, expected: int, bits: bytes | None = None):
         size = 1 << 13
-        while size < min(self.MOST_BITS, 12 * expected):
+        while size < min(self.MOST_BITS, 24 * expected):
             size *= 2
         self.size = np.uint64(size - 1)
         self.bits = np.zeros(size // 8, np.uint8) if bits is None else np.frombuffer(bits, np.uint8)
