@@ -11,8 +11,10 @@ Plan, for points in n strips of latitude:
 3. A pair belongs to the one strip and tile that holds the lower corner of the squares'
    overlap. No pair is found twice, so nothing has to be made distinct afterwards.
 
-A tile with more than `hot_rows` rows is cut into slices: every slice sees the tile's rows,
-but only sweeps from its own share of them. No rows are capped.
+A tile with more than `hot_rows` rows is cut at quantiles of its longitudes: a slice sweeps
+from its own range and sees the rows up to one radius beyond it. Only rows of one and the
+same longitude, which no cut can part, are shared out by their id among slices that all see
+them. No rows are capped.
 """
 
 from __future__ import annotations
@@ -25,11 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions import geo
+from adlens.session import shared_dir
 
 #: Candidates examined at once by a task, so that its memory stays bounded.
 CHUNK = 1_000_000
 #: Rows of tiles swept at once.
 BLOCK = 100_000
+#: Tiles to be cut that are broadcast; more are joined.
+MAX_HOT = 20_000
+#: Quantiles at which a tile may be cut.
+GRID = 256
 
 
 def _sweep(rows: dict[str, np.ndarray], radius: float, window: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -143,17 +150,29 @@ def pairs_within(
             (F.col("low") == F.col("strip")).alias("home_y"), (F.col("low_x") == F.col("tile")).alias("home_x"), (F.col("half_x") * 2).alias("reach"),
         )
     )
-    hot = tiles.groupBy("strip", "tile").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
-    hot = hot.select("strip", "tile", F.ceil(F.col("n") / hot_rows).cast("int").alias("slices"))
-    n_hot = hot.limit(100_001).count()
+    shared_dir(points.sparkSession)
+    hot = tiles.groupBy("strip", "tile").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).checkpoint()
+    n_hot = hot.limit(MAX_HOT + 1).count()
     if n_hot:
-        tiles = tiles.join(F.broadcast(hot) if n_hot <= 100_000 else hot, ["strip", "tile"], "left")
-        mine = F.pmod(F.xxhash64("id"), F.coalesce(F.col("slices"), F.lit(1)).cast("long")).cast("int")
-        tiles = tiles.withColumn("mine", mine).withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("slices"), F.lit(1)) - 1)))
-        tiles = tiles.withColumn("own", F.col("mine") == F.col("slice")).drop("mine", "slices")
+        hot = F.broadcast(hot) if n_hot <= MAX_HOT else hot
+        cuts = F.percentile_approx("lon", [i / GRID for i in range(1, GRID)], 10_000)
+        grid = tiles.join(hot, ["strip", "tile"]).groupBy("strip", "tile").agg(cuts.alias("grid"), F.max("n").alias("n"))
+        # As many of the grid's cuts as make slices of about hot_rows rows.
+        step = F.greatest(F.lit(1), F.floor(F.lit(GRID) * hot_rows / F.col("n"))).cast("int")
+        slices = grid.select("strip", "tile", F.transform(F.sequence(step, F.lit(GRID - 1), step), lambda i: F.element_at("grid", i)).alias("cuts")).checkpoint()
+        tiles = tiles.join(F.broadcast(slices) if n_hot <= MAX_HOT else slices, ["strip", "tile"], "left")
+        under = lambda x: F.size(F.filter("cuts", lambda c: c < x))
+        upto = F.size(F.filter("cuts", lambda c: c <= F.col("lon")))
+        tied = upto - under(F.col("lon"))
+        mine = F.when(tied >= 2, upto - F.pmod(F.xxhash64("id"), tied.cast("long")).cast("int")).otherwise(upto)
+        seen = F.sequence(under(F.col("lon") - F.col("reach") * (1 + 1e-9)), upto)
+        cold = F.col("cuts").isNull()
+        tiles = tiles.withColumn("mine", F.when(cold, 0).otherwise(mine)).withColumn("slice", F.explode(F.when(cold, F.array(F.lit(0))).otherwise(seen)))
+        tiles = tiles.withColumn("own", F.col("mine") == F.col("slice")).drop("mine", "cuts")
     else:
         tiles = tiles.withColumn("slice", F.lit(0)).withColumn("own", F.lit(True))
-    swept = tiles.repartitionByRange("strip", "tile", "slice").sortWithinPartitions("strip", "tile", "slice", "lon")
+    # The id makes the order the same in every slice, so that each pair is swept from one of its rows.
+    swept = tiles.repartitionByRange("strip", "tile", "slice").sortWithinPartitions("strip", "tile", "slice", "lon", "id")
     return swept.mapInArrow(_sweeper(float(radius_m)), "id_a long, id_b long")
 
 

@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from adlens.operators.neighbors import board_pairs, pairs_within
@@ -57,3 +59,29 @@ def test_boards_stand_along_the_bearing(spark):
     df = spark.createDataFrame(rows, "seq long, panoid string, lon double, lat double, bearing_deg double")
     df = df.withColumn("id", F.lit("clash")).withColumn("strip", F.lit(1)).withColumn("tile", F.lit(1))
     assert {tuple(r) for r in board_pairs(df).collect()} == {(1, 2), (1, 6), (2, 6)}
+
+
+def test_crowds_of_one_longitude_are_shared_out(spark):
+    r = random.Random(5)
+    lons = [10.0, 10.0003, 10.0003, 10.0005]
+    rows = [(i, r.choice(lons) if i % 4 else 10 + r.uniform(0, 0.001), 45 + r.uniform(0, 0.002), str(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, lon double, lat double, g string").repartition(6)
+    for hot_rows in (10, 60):
+        assert found(df, 25.0, hot_rows=hot_rows) == brute(rows, 25.0)
+
+
+def test_half_a_million_points_in_one_tile(spark):
+    """One tile, ten slices: the pairs are those of a grid in numpy."""
+    n, radius = 500_000, 3.0
+    rng = np.random.default_rng(3)
+    lon, lat = 10 + rng.uniform(0, 0.9, n), 1.0 + rng.uniform(0, 0.9, n)
+    x, y = lon * 111320, lat * 111320
+    cell = {}
+    for i, key in enumerate(zip((x // 4).astype(int).tolist(), (y // 4).astype(int).tolist())):
+        cell.setdefault(key, []).append(i)
+    want = set()
+    for (a, b), own in cell.items():
+        near = [j for da in (-1, 0, 1) for db in (-1, 0, 1) for j in cell.get((a + da, b + db), ())]
+        want |= {(i, j) for i in own for j in near if i < j and metres((lon[i], lat[i]), (lon[j], lat[j])) <= radius}
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "lon": lon, "lat": lat})).withColumn("g", F.col("id"))
+    assert found(df, radius, strip_m=250_000.0) == want and len(want) > 100
