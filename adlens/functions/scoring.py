@@ -96,6 +96,7 @@ def zero_shot(vector: Column, prompts: Sequence[tuple[str, Sequence[float]]], sc
     return F.zip_with(softmax(cosines, scale), names, lambda p, n: F.struct(p.alias("p"), n.alias("name")))
 
 
+# Thresholds of the visual gate.
 def visual_gate(
     edges: Column, colour: Column, saturation: Column, bright: Column, dark: Column, contrast: Column, has_text: Column | None = None,
     min_edges: float = 0.025, min_colour: float = 18.0, min_saturation: float = 0.12, min_bright: float = 0.45, min_dark: float = 0.01, min_contrast: float = 18.0,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adlens import schemas
 from adlens.functions import boxes, contacts, geo, text
-from adlens.operators import ranking, recognition
+from adlens.operators import crops, ranking, recognition
 from adlens.operators.dictionary import Directory
 from adlens.operators.graph import numbered
 from adlens.operators.greedy import first_fit_boards
@@ -39,12 +39,49 @@ def candidates(detections: DataFrame, panoramas: DataFrame, settings: Settings |
     return ranking.top_per_group(ok, ["panoid"], [F.desc_nulls_last("score"), F.asc("idx"), F.asc("fx0")], s.get("detector.max_candidates"))
 
 
+#: Routes of a box to its reading.
+CLOUD, FALLBACK, LOW, SPENT = "cloud", "fallback", "skipped-lowres", "skipped-budget"
+
+
+def routed(boxes_: DataFrame, settings: Settings | None = None, fallback: bool = False, cloud: bool = True) -> DataFrame:
+    """Adds `route`: how a box (panoid, idx, crop_w, crop_h, is_ad if verified) comes to be read.
+
+    Boxes that are no advertisement are left out. A paid engine reads crops whose smaller
+    side is at least ocr.cloud_min_side, the first ocr.max_cloud_calls_per_panorama of a
+    panorama in order of score; the others go to the fallback engine where there is one,
+    else they are skipped and stay without text. A free engine reads all.
+    """
+    s = settings or Settings()
+    ads = boxes_.filter(F.coalesce("is_ad", F.lit(False))) if "is_ad" in boxes_.columns else boxes_
+    if not cloud:
+        return ads.withColumn("route", F.lit(FALLBACK))
+    sharp = F.least("crop_w", "crop_h") >= s.get("ocr.cloud_min_side")
+    order = [F.desc_nulls_last("score"), F.asc("idx"), F.asc("fx0")]
+    marked = ranking.within_budget(ads, ["panoid"], order, ["panoid", "idx", "fx0"], sharp, s.get("ocr.max_cloud_calls_per_panorama"))
+    other = F.lit(FALLBACK) if fallback else F.when(sharp, SPENT).otherwise(LOW)
+    return marked.withColumn("route", F.when(F.col("granted"), CLOUD).otherwise(other)).drop("granted")
+
+
+def verified_boxes(boxes_: DataFrame, tiles: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """Candidate boxes with `is_ad` from the pixels of their crops; boxes without a tile are none."""
+    s = settings or Settings()
+    cut = crops.cropped(boxes_, tiles, s.get("panorama.crop_zoom"), s.get("crop.pad"))
+    seen = crops.verified(cut.select("panoid", "idx", "width", "height", "data")).select("panoid", "idx", "is_ad", "ad_score")
+    return boxes_.join(seen, ["panoid", "idx"], "left").withColumn("is_ad", F.coalesce("is_ad", F.lit(False)))
+
+
 def assembled(boxes_: DataFrame, readings: DataFrame, directory: Directory | None = None, settings: Settings | None = None) -> DataFrame:
     """Banner rows of candidate boxes and their readings (panoid, idx, result columns, engine).
 
-    Boxes without a reading have empty text. `seq` is free for the caller: it must follow
+    Boxes without a reading have empty text; routed boxes (`routed`) that are skipped have
+    no reading and their route for an engine. `seq` is free for the caller: it must follow
     the order of arrival.
     """
+    if "route" in boxes_.columns:
+        skipped = F.col("route").isin(LOW, SPENT)
+        read = boxes_.filter(~skipped).drop("route").join(readings, ["panoid", "idx"], "left")
+        unread = boxes_.filter(skipped).withColumn("engine", F.col("route")).drop("route")
+        return _rows(read.unionByName(unread, allowMissingColumns=True), directory, settings)
     return _rows(boxes_.join(readings, ["panoid", "idx"], "left"), directory, settings)
 
 

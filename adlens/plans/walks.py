@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from adlens.operators.dictionary import Directory
 from adlens.operators.graph import walk
 from adlens.operators.greedy import duplicate_edges, first_fit_boards, spaced
-from adlens.plans.pipeline import accepted, assembled_readings, candidates
+from adlens.functions import boxes
+from adlens.operators.crops import cropped
+from adlens.plans.pipeline import accepted, assembled_readings, candidates, routed
 from adlens.session import shared_dir, table
 from adlens.sources.config import DEFAULTS, Settings
 from adlens.streaming.crawl import Crawl, CrawlRules
@@ -119,6 +121,75 @@ def q_crawl(spark: SparkSession, sf: str) -> DataFrame:
     return rows
 
 
+# A small panorama of which every pixel is known: 128 x 64 pixels in tiles of 16.
+PIXEL = "(x * 7 + y * 13 + c * 50) % 251"
+
+
+def _made_tiles(panoids: DataFrame) -> DataFrame:
+    """Tiles of the small panorama for each panoid, but one tile (x 3, y 1) that is missing."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for df in batches:
+            out = []
+            for p in df.panoid:
+                for ty in range(4):
+                    for tx in range(8):
+                        x, y, c = np.meshgrid(np.arange(16) + 16 * tx, np.arange(16) + 16 * ty, np.arange(3))
+                        if (tx, ty) != (3, 1):
+                            out.append((p, 0, tx, ty, 16, 16, ((x * 7 + y * 13 + c * 50) % 251).astype(np.uint8)[..., ::-1].tobytes()))
+            yield pd.DataFrame(out, columns=["panoid", "zoom", "x", "y", "width", "height", "data"])
+
+    return panoids.mapInPandas(run, "panoid string, zoom int, x int, y int, width int, height int, data binary")
+
+
+@query(
+    f"""WITH d AS (SELECT panoid, idx, min(struct_pack(fx0 := fx0, fy0 := fy0, fx1 := fx1, fy1 := fy1)) AS b FROM detections GROUP BY panoid, idx),
+w AS (SELECT panoid, idx, greatest(0.0, b.fx0 - (b.fx1 - b.fx0) * 0.1) AS x0, greatest(0.0, b.fy0 - (b.fy1 - b.fy0) * 0.1) AS y0, least(1.0, b.fx1 + (b.fx1 - b.fx0) * 0.1) AS x1, least(1.0, b.fy1 + (b.fy1 - b.fy0) * 0.1) AS y1 FROM d),
+p AS (SELECT panoid, idx, CAST(trunc(x0 * 128) AS INT) AS px0, CAST(trunc(y0 * 64) AS INT) AS py0, CAST(trunc(x1 * 128) AS INT) AS px1, CAST(trunc(y1 * 64) AS INT) AS py1 FROM w),
+s AS (SELECT panoid, idx, c, sum(CASE WHEN x // 16 = 3 AND y // 16 = 1 THEN 0 ELSE {PIXEL} END) AS total, sum(CASE WHEN x // 16 = 3 AND y // 16 = 1 THEN 0 ELSE {PIXEL} * ((x - px0) * 3 + (y - py0) * 5 + 1) END) AS placed
+  FROM p, range(0, 128) tx(x), range(0, 64) ty(y), range(0, 3) tc(c) WHERE x >= px0 AND x < px1 AND y >= py0 AND y < py1 GROUP BY panoid, idx, c)
+SELECT panoid, idx, px1 - px0 AS w, py1 - py0 AS h, list(CAST(total AS BIGINT) ORDER BY c) AS total, list(CAST(placed AS BIGINT) ORDER BY c) AS placed FROM s JOIN p USING (panoid, idx) GROUP BY panoid, idx, px0, py0, px1, py1"""
+)
+def q_crop_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of the pixels of every box's crop, cut from tiles of a panorama whose pixels are known."""
+    import numpy as np
+    import pandas as pd
+
+    d = table(spark, sf, "detections")
+    b = d.groupBy("panoid", "idx").agg(F.min(F.struct("fx0", "fy0", "fx1", "fy1")).alias("b")).select("panoid", "idx", "b.*")
+    zooms = F.array(F.struct(F.lit(0).alias("level"), F.lit(128).alias("width"), F.lit(64).alias("height")))
+    cut = cropped(b.withColumn("zooms", zooms).withColumn("tile_size", F.lit(16)), _made_tiles(d.select("panoid").distinct()), 0, pad=0.1, straighten=False)
+
+    def sums(batches):
+        for df in batches:
+            out = []
+            for w, h, data in zip(df.width, df.height, df.data):
+                a = np.frombuffer(data, np.uint8).reshape(h, w, 3)[..., ::-1].astype(np.int64)
+                y, x = np.mgrid[:h, :w]
+                out.append((a.sum(axis=(0, 1)).tolist(), (a * (x * 3 + y * 5 + 1)[..., None]).sum(axis=(0, 1)).tolist()))
+            yield pd.DataFrame({"panoid": df.panoid, "idx": df.idx, "w": df.width, "h": df.height, "total": [o[0] for o in out], "placed": [o[1] for o in out]})
+
+    return cut.mapInPandas(sums, "panoid string, idx int, w int, h int, total array<long>, placed array<long>")
+
+
+_SIDE = "least(CAST(trunc((least(1.0, fx1) - greatest(0.0, fx0)) * 8000) AS INT), CAST(trunc((least(1.0, fy1) - greatest(0.0, fy0)) * 4000) AS INT))"
+
+
+@query(
+    f"""WITH d AS (SELECT *, coalesce({_SIDE} >= 220, false) AS sharp, CASE WHEN isnan(score) THEN NULL ELSE score END AS s FROM detections WHERE coalesce(NOT isnan(pos_score) AND pos_score >= 0.15, false)),
+r AS (SELECT *, row_number() OVER (PARTITION BY panoid, sharp ORDER BY s DESC NULLS LAST, idx, fx0) AS n FROM d)
+SELECT panoid, idx, CASE WHEN NOT sharp THEN 'skipped-lowres' WHEN n <= 4 THEN 'cloud' ELSE 'skipped-budget' END AS route FROM r"""
+)
+def q_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """Which boxes a paid engine reads, by the size of their crops and the budget of their panorama."""
+    d = table(spark, sf, "detections").withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
+    w, h = boxes.pixel_size({k: F.col(k) for k in boxes.BOX}, F.lit(8000), F.lit(4000))
+    ads = d.withColumn("crop_w", w).withColumn("crop_h", h).withColumn("is_ad", (F.col("pos_score") >= 0.15) & ~F.isnan("pos_score"))
+    return routed(ads).select("panoid", "idx", "route")
+
+
 @query()
 def q_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Boxes and all readings through all stages to accepted advertisements."""

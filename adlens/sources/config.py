@@ -11,6 +11,7 @@ DEFAULTS: dict[str, Any] = {
     "detector": {"pos_strong": 0.25, "pos_weak": 0.10, "neg_margin": 0.10, "iou": 0.4, "max_per_panorama": 10, "max_candidates": 40},
     "crop": {"min_side": 30, "min_area": 1200, "max_area": 800_000, "pad": 0.10},
     "contacts": {"min_side": 220},
+    "ocr": {"cloud_min_side": 220, "max_cloud_calls_per_panorama": 4},
     "crawl": {"min_distance_m": 75.0, "max_failures": 30},
     "dedup": {"radius_m": 25.0, "phone_radius_m": 300.0, "assumed_distance_m": 25.0},
 }

@@ -70,6 +70,46 @@ def test_visual_stats(spark):
     assert r[3].gray_std is None and r[4].edge_density is None and r[4].dark_ratio == 1.0
 
 
+def test_visual_stats_follow_their_definition():
+    rgb = np.random.default_rng(4).integers(0, 256, (30, 41, 3)).astype(np.uint8)
+    red, green, blue = (rgb[..., i].astype(float) for i in range(3))
+    gray, got = rgb.mean(axis=2), images.visual_stats(rgb)
+    a, b = red - green, (red + green) / 2 - blue
+    assert abs(got["colorfulness"] - (np.hypot(a.std(), b.std()) + 0.3 * np.hypot(a.mean(), b.mean()))) < 1e-9
+    assert abs(got["gray_std"] - gray.std()) < 1e-9 and got["bright_ratio"] == (gray >= 185).mean() and got["dark_ratio"] == (gray <= 100).mean()
+    assert abs(got["edge_density"] - ((np.abs(np.diff(gray, axis=0)) > 24).mean() + (np.abs(np.diff(gray, axis=1)) > 24).mean()) / 2) < 1e-9
+    big = np.repeat(np.repeat(rgb, 40, axis=0), 40, axis=1)[: 30 * 40, : 41 * 40]
+    small = images.shrunk(big, 41)
+    assert (small == rgb).all() and images.shrunk(rgb, 512) is rgb
+    assert images.shrunk(np.full((1000, 3, 3), 7, np.uint8), 100).shape == (100, 1, 3)
+
+
+def test_crops_verify_and_routes(spark):
+    from adlens.operators import crops
+    from adlens.plans import pipeline
+
+    rng = np.random.default_rng(7)
+    pano = rng.integers(0, 256, (16, 32, 3)).astype(np.uint8)
+    pano[:, 16:] = 90
+    tiles = [("p", 0, x, y, *picture(pano[y * 8 : y * 8 + 8, x * 8 : x * 8 + 8])) for x in range(4) for y in range(2)]
+    tiles = spark.createDataFrame(tiles + tiles[:1], "panoid string, zoom int, x int, y int, width int, height int, data binary")
+    rows = [("p", 0, 0.1, 0.1, 0.4, 0.8, 0.9), ("p", 1, 0.6, 0.1, 0.95, 0.9, 0.8), ("p", 2, 0.3, 0.3, 0.3, 0.5, 0.7), ("q", 0, 0.1, 0.1, 0.3, 0.3, 0.9)]
+    df = spark.createDataFrame(rows, "panoid string, idx int, fx0 double, fy0 double, fx1 double, fy1 double, score double")
+    df = df.selectExpr("*", "array(named_struct('level', 0, 'width', 32, 'height', 16)) as zooms", "8 as tile_size", "300 as crop_w", "300 as crop_h")
+    cut = {(r.panoid, r.idx): images.pixels(r.data, r.height, r.width) for r in crops.cropped(df, tiles, 0, straighten=False).collect()}
+    assert cut.keys() == {("p", 0), ("p", 1), ("q", 0)} and (cut["p", 0] == pano[1:12, 3:12]).all() and not cut["q", 0].any()
+    seen = pipeline.verified_boxes(df, tiles)
+    assert {(r.panoid, r.idx) for r in seen.filter("is_ad").collect()} == {("p", 0)}
+    files = {r.idx: r for r in crops.encoded(crops.cropped(df.filter("panoid = 'p'"), tiles, 0, straighten=False)).collect()}
+    assert files[0].name == "p_0.png" and files[0].data[:4] == b"\x89PNG" and files[0].body.startswith("iVBOR")
+    many = spark.createDataFrame([("p", i, 0.1, 0.1, 0.4, 0.8, i / 10, 300 if i % 2 else 100, True) for i in range(12)], "panoid string, idx int, fx0 double, fy0 double, fx1 double, fy1 double, score double, crop_w int, is_ad boolean")
+    many = many.withColumn("crop_h", F.lit(400)).unionByName(many.withColumn("crop_h", F.lit(400)).limit(1).withColumn("is_ad", F.lit(False)).withColumn("idx", F.lit(99)))
+    routes = {r.idx: r.route for r in pipeline.routed(many).collect()}
+    assert routes == {**{i: "skipped-lowres" for i in range(0, 12, 2)}, **{i: "cloud" for i in (11, 9, 7, 5)}, **{i: "skipped-budget" for i in (1, 3)}}
+    assert {r.route for r in pipeline.routed(many, fallback=True).collect()} == {"cloud", "fallback"}
+    assert {r.route for r in pipeline.routed(many, cloud=False).collect()} == {"fallback"}
+
+
 def test_gray_stats_in_the_jvm_equal_numpy(spark):
     g = np.random.default_rng(1).integers(0, 256, (8, 8)).astype(float)
     want = images.visual_stats(np.repeat(g[..., None], 3, axis=-1).astype(np.uint8))
