@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,25 +42,32 @@ def cropped(boxes_: DataFrame, tiles: DataFrame, zoom: int, pad: float = 0.0, st
     want = placed(boxes_.select("panoid", "idx", *boxes.BOX, "zooms", "tile_size"), level, pad).drop("zooms").filter("px1 > px0 and py1 > py0")
     each = want.withColumn("x", F.explode(F.sequence("tx0", "tx1"))).withColumn("y", F.explode(F.sequence("ty0", "ty1")))
     of_zoom = tiles.filter(F.col("zoom") == zoom).groupBy("panoid", "x", "y").agg(F.min(F.struct("width", "height", "data")).alias("t"))
-    have = of_zoom.select("panoid", "x", "y", F.col("t.width").alias("t_w"), F.col("t.height").alias("t_h"), F.col("t.data").alias("t_data"))
-
-    def cut(g: pd.DataFrame) -> pd.DataFrame:
-        r = g.iloc[0]
-        x0, y0, x1, y1, side = (int(r[k]) for k in (*EDGES, "tile_size"))
-        out = np.zeros((y1 - y0, x1 - x0, 3), np.uint8)
-        for x, y, w, h, data in zip(g["x"], g["y"], g["t_w"], g["t_h"], g["t_data"]):
-            if data is None:
-                continue
-            tile = np.frombuffer(data, np.uint8).reshape(int(h), int(w), 3)
-            left, top = x * side - x0, y * side - y0  # of the tile within the crop
-            a, b = max(0, left), max(0, top)
-            part = tile[b - top : y1 - y0 - top, a - left : x1 - x0 - left]
-            out[b : b + part.shape[0], a : a + part.shape[1]] = part
-        if straighten:
-            out = rectified(out, tuple(r[f"b_{k}"] for k in boxes.BOX), tuple(r[k] for k in boxes.BOX), int(r["pano_w"]), int(r["pano_h"]))
-        return pd.DataFrame({"panoid": [r["panoid"]], "idx": [r["idx"]], "width": [out.shape[1]], "height": [out.shape[0]], "data": [np.ascontiguousarray(out).tobytes()]})
-
-    return each.join(have, ["panoid", "x", "y"], "left").groupBy("panoid", "idx").applyInPandas(cut, "panoid string, idx int, width int, height int, data binary")
+    keys = want.columns
+    # A box touches few tiles, so its list is bounded by the size gate.
+    listed = each.join(of_zoom, ["panoid", "x", "y"], "left").groupBy(*keys).agg(F.collect_list(F.when(F.col("t.data").isNotNull(), F.struct("x", "y", "t.width", "t.height", "t.data"))).alias("tiles"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [_cut(r, straighten) for r in batch.to_pylist()]
+            arrays = [pa.array([m.shape[1] for m in made], pa.int32()), pa.array([m.shape[0] for m in made], pa.int32()), pa.array([m.tobytes() for m in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("panoid"), batch.column("idx"), *arrays], names=["panoid", "idx", "width", "height", "data"])
+
+    return listed.mapInArrow(run, "panoid string, idx int, width int, height int, data binary")
+
+
+def _cut(r: dict, straighten: bool) -> np.ndarray:
+    """The crop of a box (a row of `placed`) from its tiles."""
+    x0, y0, x1, y1 = (r[e] for e in EDGES)
+    out = np.zeros((y1 - y0, x1 - x0, 3), np.uint8)
+    for t in r["tiles"]:
+        tile = np.frombuffer(t["data"], np.uint8).reshape(t["height"], t["width"], 3)
+        left, top = t["x"] * r["tile_size"] - x0, t["y"] * r["tile_size"] - y0  # of the tile within the crop
+        a, b = max(0, left), max(0, top)
+        part = tile[b - top : y1 - y0 - top, a - left : x1 - x0 - left]
+        out[b : b + part.shape[0], a : a + part.shape[1]] = part
+    if straighten:
+        out = rectified(out, tuple(r[f"b_{k}"] for k in boxes.BOX), tuple(r[k] for k in boxes.BOX), r["pano_w"], r["pano_h"])
+    return np.ascontiguousarray(out)
 
 
 def png(rgb: np.ndarray) -> bytes:
