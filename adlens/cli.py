@@ -6,7 +6,6 @@ import argparse
 import logging
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from adlens.plans import export
 from adlens.sources.config import Settings
@@ -54,8 +53,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
     spark = spark or SparkSession.builder.appName("adlens").getOrCreate()
     spark.sparkContext.setJobDescription(f"adlens {args.command}")
     if args.command == "stats":
-        rows = spark.read.parquet(args.banners).groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category")
-        out = report(rows)
+        out = report(export.category_counts(spark.read.parquet(args.banners)))
     elif args.command == "export":
         rows = spark.read.parquet(args.banners)
         if not args.realty:
@@ -69,7 +67,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         rules = CrawlRules(args.bbox, settings.get("crawl.min_distance_m", 75.0), settings.get("crawl.max_failures", 30), args.max)
         crawl = Crawl(spark, args.state, rules)
         done = crawl.run(spark.read.parquet(args.panoramas), *args.start)
-        out = f"{done.count()} panoramas, {crawl.last().reason}"
+        out = f"{done.count()} panoramas, {crawl.last().reason}\n{report(crawl.counts())}"
     print(out)
     return out
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions import text
@@ -18,14 +18,23 @@ COLUMNS = (
 )
 
 
-def realty(banners: DataFrame, include_unsure: bool = True, personal: bool | None = None, strict_case: bool = False) -> DataFrame:
-    """Rows of the segment; with `strict_case` only the lower-case spelling counts. Null personal flags are false."""
+def is_realty(include_unsure: bool = True, strict_case: bool = False) -> Column:
+    """Row of the segment; with `strict_case` only the lower-case spelling counts."""
     flag = F.coalesce("is_realty", F.lit(""))
-    flag = flag if strict_case else F.lower(flag)
-    out = banners.filter(flag.isin(["да", "не уверен"] if include_unsure else ["да"]))
+    return (flag if strict_case else F.lower(flag)).isin(["да", "не уверен"] if include_unsure else ["да"])
+
+
+def realty(banners: DataFrame, include_unsure: bool = True, personal: bool | None = None, strict_case: bool = False) -> DataFrame:
+    """Rows of the segment. Null personal flags are false."""
+    out = banners.filter(is_realty(include_unsure, strict_case))
     return out if personal is None else out.filter(F.coalesce("personal_ad", F.lit(False)) == personal)
 
 
+def category_counts(banners: DataFrame) -> DataFrame:
+    """(category, n), most frequent first."""
+    return banners.groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category")
+
+
 def by_category(banners: DataFrame, every: bool = False, category: str | None = None, configured: str | None = None) -> DataFrame:
     """All rows, else those of the asked, else of the configured category."""
     wanted = None if every else category or configured

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.functions import boxes, geo
-from adlens.operators import ranking, recognition, state
+from adlens.functions import boxes, geo, text
+from adlens.operators import evaluation, ranking, recognition, state
 from adlens.operators.dictionary import Directory
-from adlens.plans.export import presentation, realty
+from adlens.plans.export import by_category, category_counts, is_realty, presentation, realty
+from adlens.plans.scalars import category_sql
 from adlens.session import spread, table
 from adlens.sources import metadata, seeds
 
@@ -31,7 +32,7 @@ def query(sql: str | None = None):
 
 @query("SELECT category, count(*) AS n FROM banners GROUP BY category")
 def q_category_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "banners").groupBy("category").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "category")
+    return category_counts(table(spark, sf, "banners"))
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (WHERE brand_matched) AS matched, count(*) FILTER (WHERE personal_ad) AS personal, count(*) FILTER (WHERE len(phones) > 0) AS with_phone FROM banners")
@@ -64,6 +65,31 @@ def q_cache_counts(spark: SparkSession, sf: str) -> DataFrame:
     return k.groupBy("engine").agg(F.sum("n").alias("n"), F.count("key").alias("keys"), (F.sum("n") - F.count("key")).alias("repeats"))
 
 
+@query(
+    r"""WITH c AS (SELECT engine, sha256(text) AS k, arg_min(struct_pack(text := text, advertiser := advertiser, category := category, usage := usage, created := created), (created, key)) AS r FROM ocr_cache WHERE text IS NOT NULL GROUP BY engine, k),
+b AS (SELECT ocr_engine AS engine, sha256(text) AS k, arg_min(struct_pack(text := text, advertiser := advertiser, category := category), seq) AS t FROM banners WHERE text IS NOT NULL GROUP BY engine, k),
+j AS (SELECT engine, r.text AS g0, t.text AS t0, r.created % 10 AS seconds, coalesce(TRY_CAST(CASE WHEN json_valid(r.usage) THEN json_extract_string(r.usage, '$.input_tokens') END AS BIGINT), 0) AS ti,
+  coalesce(TRY_CAST(CASE WHEN json_valid(r.usage) THEN json_extract_string(r.usage, '$.output_tokens') END AS BIGINT), 0) AS tok, coalesce(t.advertiser, '') AS ea, coalesce(r.advertiser, '') AS ga, coalesce(t.category, '') AS ec, coalesce(r.category, '') AS gc FROM c JOIN b USING (engine, k)),
+n AS (SELECT *, trim(regexp_replace(replace(lower(t0), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS truth, trim(regexp_replace(replace(lower(g0), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS got FROM j),
+w AS (SELECT *, list_filter(string_split(truth, ' '), lambda x: length(x) >= 3) AS ws FROM n)
+SELECT engine, count(*) AS n, round(avg(CASE WHEN len(ws) > 0 THEN len(list_filter(ws, lambda x: contains(got, x))) / len(ws) END), 6) AS recall,
+  round(100.0 * avg(CAST(CASE WHEN ea = '' THEN ga = '' ELSE ga <> '' AND contains(trim(regexp_replace(replace(lower(ga), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')), trim(regexp_replace(replace(lower(ea), 'ё', 'е'), '[^0-9a-zа-я]+', ' ', 'g'))) END AS INT)), 6) AS advertiser_ok,
+  round(100.0 * avg(CAST(CASE WHEN ec = '' THEN gc = '' ELSE gc <> '' AND contains(trim(regexp_replace(replace(lower(gc), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')), trim(regexp_replace(replace(lower(ec), 'ё', 'е'), '[^0-9a-zа-я]+', ' ', 'g'))) END AS INT)), 6) AS category_ok,
+  round(avg(seconds), 6) AS seconds, round((sum(ti) * 3.0 + sum(tok) * 15.0) / 1e6 / count(*) * 100000, 6) AS cost_per_100k FROM w GROUP BY engine"""
+)
+def q_engine_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Cached answers beside the stored readings of the same content, by engine."""
+    fields, key = ("text", "advertiser", "category"), F.sha2("text", 256).alias("k")
+    c = table(spark, sf, "ocr_cache").filter("text is not null").groupBy("engine", key).agg(F.min_by(F.struct(*fields, "usage", "created"), F.struct("created", "key")).alias("r"))
+    b = table(spark, sf, "banners").filter("text is not null").groupBy(F.col("ocr_engine").alias("engine"), key).agg(F.min_by(F.struct(*fields), F.col("seq")).alias("t"))
+    used = text.usage_counts(F.col("r.usage"))
+    pairs = c.join(b, ["engine", "k"]).select(
+        "engine", *[F.col(f"r.{f}").alias(f) for f in fields], *[F.col(f"t.{f}").alias(f"true_{f}") for f in fields], F.lit(False).alias("failed"),
+        (F.col("r.created") % 10).alias("seconds"), used["input_tokens"].alias("input_tokens"), used["output_tokens"].alias("output_tokens"),
+    )
+    return evaluation.engine_report(pairs, 3.0, 15.0)
+
+
 # --- windows -----------------------------------------------------------------------------
 
 
@@ -168,14 +194,15 @@ def q_cache_insert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT seq, coalesce(nullif(category, ''), '?') <> '?' AS has_category, coalesce(CASE WHEN brand_matched THEN brand END, nullif(developer, '')) AS developer,
-  coalesce(nullif(complex_name, ''), 'нет') AS complex_name, starts_with(lower(coalesce(advertiser_type, '')), 'частн') AS personal_ad FROM banners"""
+    "WITH k AS (" + category_sql("text") + ") "
+    + """SELECT seq, coalesce(nullif(b.category, ''), k.category) AS category, coalesce(CASE WHEN brand_matched THEN brand END, nullif(developer, '')) AS developer,
+  coalesce(nullif(complex_name, ''), 'нет') AS complex_name, starts_with(lower(coalesce(advertiser_type, '')), 'частн') AS personal_ad FROM banners b JOIN k USING (seq)"""
 )
 def q_fused_fields(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     f = recognition.fused(c("category"), c("text"), c("brand_matched"), c("brand"), c("developer"), c("complex_name"), F.lit("нет"), c("advertiser_type"))
     b = table(spark, sf, "banners")
-    return b.select("seq", F.nullif("category", F.lit("")).isNotNull().alias("has_category"), f["developer"].alias("developer"), f["complex_name"].alias("complex_name"), f["personal_ad"].alias("personal_ad"))
+    return spread(b).select("seq", f["category"].alias("category"), f["developer"].alias("developer"), f["complex_name"].alias("complex_name"), f["personal_ad"].alias("personal_ad"))
 
 
 # --- state, semi and anti joins ------------------------------------------------------------
@@ -243,12 +270,12 @@ def q_schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT DISTINCT panoid, coalesce(timestamp, 0) AS timestamp, round(coalesce(azimuth_origin, 0), 6) AS azimuth_origin, len(zooms) AS n_zooms,
-  coalesce(array_to_string(list_filter(neighbor_oids, lambda o: o IS NOT NULL AND o <> ''), ','), '') AS neighbours, nullif(address, '') AS address
+  coalesce(array_to_string(list_filter(neighbor_oids, lambda o: o IS NOT NULL AND o <> ''), ','), '') AS neighbours, coalesce(nullif(address, ''), 'рядом') AS address
 FROM panoramas WHERE status = 'success' AND panoid IS NOT NULL"""
 )
 def q_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    """Panoramas rendered as landed documents and parsed again."""
-    raw = metadata.rendered(table(spark, sf, "panoramas"))
+    """Panoramas rendered as landed documents of three markers and parsed again: the nearest names the place."""
+    raw = metadata.rendered(table(spark, sf, "panoramas"), beside="рядом")
     p = metadata.parsed(raw, oid=F.col("oid")).filter("panoid is not null")
     return p.select(
         "panoid", "timestamp", F.round("azimuth_origin", 6).alias("azimuth_origin"), F.size("zooms").alias("n_zooms"), F.array_join("neighbor_oids", ",").alias("neighbours"), "address"
@@ -286,7 +313,7 @@ def q_lattice(spark: SparkSession, sf: str) -> DataFrame:
 e AS (SELECT a.oid AS src, b.oid AS dst, a.lon AS x0, a.lat AS y0, b.lon AS x1, b.lat AS y1 FROM (SELECT oid, lon, lat, unnest(ns) AS n FROM p) a JOIN p b ON a.n = b.oid WHERE a.oid < b.oid AND (a.lon <> b.lon OR a.lat <> b.lat)),
 m AS (SELECT *, greatest(1, CAST(floor(sqrt(power((x1 - x0) * 111320 * cos(radians((y0 + y1) / 2)), 2) + power((y1 - y0) * 111320, 2)) / 400) AS BIGINT)) AS n FROM e),
 s AS (SELECT x0 + (x1 - x0) * k / n AS lon, y0 + (y1 - y0) * k / n AS lat FROM m, range(0, 100000) t(k) WHERE k <= n)
-SELECT count(*) AS points FROM (SELECT DISTINCT round_even(lon, 5), round_even(lat, 5) FROM s)"""
+SELECT DISTINCT round_even(lon, 5) AS lon, round_even(lat, 5) AS lat FROM s"""
 )
 def q_road_points(spark: SparkSession, sf: str) -> DataFrame:
     """Seed points about every 400 m along the links between panoramas, each metre once.
@@ -298,8 +325,7 @@ def q_road_points(spark: SparkSession, sf: str) -> DataFrame:
     e = a.join(p, "oid").filter("src < oid")
     pt = lambda x, y: F.struct(F.col(x).alias("lon"), F.col(y).alias("lat"))
     roads = e.select(F.concat_ws("-", "src", "oid").alias("way_id"), F.lit("primary").alias("highway"), F.array(pt("x0", "y0"), pt("lon", "lat")).alias("pts"))
-    s = seeds.along_roads(roads, 400.0)
-    return s.agg(F.count("*").alias("points"))
+    return seeds.along_roads(roads, 400.0).select(F.bround("lon", 5).alias("lon"), F.bround("lat", 5).alias("lat"))
 
 
 @query("SELECT panoid, 0 AS idx, CAST(0.1 AS DOUBLE) AS fx0, CAST(0.4 AS DOUBLE) AS fy0, CAST(0.3 AS DOUBLE) AS fx1, CAST(0.6 AS DOUBLE) AS fy1, CAST(1 AS DOUBLE) AS score, 'banner' AS label FROM (SELECT DISTINCT panoid FROM panoramas)")
@@ -309,13 +335,12 @@ def q_fixed_regions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT oid FROM (SELECT DISTINCT oid FROM panoramas WHERE status = 'success' AND oid IS NOT NULL) ORDER BY oid LIMIT 25 OFFSET 10")
 def q_sample_page(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "panoramas").filter("status = 'success' and oid is not null").select("oid").distinct()
-    return p.orderBy("oid").offset(10).limit(25)
+    return metadata.page(table(spark, sf, "panoramas").filter("status = 'success'"), "oid", 10, 25)
 
 
 @query("SELECT seq, category FROM banners WHERE category = 'недвижимость'")
 def q_by_category(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "banners").filter("category = 'недвижимость'").select("seq", "category").orderBy("category", "seq")
+    return by_category(table(spark, sf, "banners"), category="недвижимость").select("seq", "category")
 
 
 # --- export ------------------------------------------------------------------------------
@@ -334,6 +359,4 @@ def q_realty_export(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE lower(coalesce(is_realty, '')) = 'да') AS sure FROM banners WHERE lower(coalesce(is_realty, '')) IN ('да', 'не уверен')")
 def q_realty_filter(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "banners")
-    both = realty(b).agg(F.count("*").alias("n"))
-    return both.withColumn("sure", F.lit(realty(b, include_unsure=False).count()))
+    return table(spark, sf, "banners").agg(F.count_if(is_realty()).alias("n"), F.count_if(is_realty(include_unsure=False)).alias("sure"))

@@ -27,7 +27,7 @@ def query(sql: str | None = None):
 # --- categories and contacts -------------------------------------------------------------
 
 
-def _category_sql(column: str) -> str:
+def category_sql(column: str) -> str:
     quote = lambda w: "'" + w.replace("'", "''") + "'"
     low = r"lower(regexp_replace(coalesce(" + column + r", ''), '^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$', '', 'g'))"
     scan = [(c, w, 2) for c, w in scoring.NAMES.items()] + [(c, w, 1) for c, w in scoring.KEYWORDS.items()]
@@ -38,7 +38,7 @@ def _category_sql(column: str) -> str:
 FROM (SELECT seq, low, {", ".join(hits)} FROM (SELECT seq, {low} AS low FROM banners))"""
 
 
-@query(_category_sql("text"))
+@query(category_sql("text"))
 def q_keyword_category(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "banners").select("seq", "text")).select("seq", scoring.keyword_category(F.col("text")).alias("category"))
 
@@ -103,7 +103,7 @@ def q_phone_kind(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "WITH c AS ("
-    + _category_sql("text")
+    + category_sql("text")
     + "), "
     + _CONTACTS_SQL.replace("WITH raw", "raw", 1)
     + """SELECT c.category, count(*) AS n, count(*) FILTER (WHERE len(p) > 0) AS with_phone, count(*) FILTER (WHERE len(s) > 0) AS with_site
@@ -145,6 +145,33 @@ def q_json_field(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("k"))
 
 
+#: Answers of every kind, and what they mean: text, advertiser, whether they fail.
+_ANSWERS = (
+    ('{"text": "Ремонт", "advertiser": "Икс"}', "Ремонт", "Икс", False),
+    ('```json\n{"text": "Окна", "phone": "8 800 1"}\n```', "Окна\n8 800 1", None, False),
+    ('```\n{"text": "Окна"}\n```', "Окна", None, False),
+    ('{"text": "А", "phone": null, "site": "null"}', "А", None, False),
+    ('{"text": "А", "phone": 12345}', "А\n12345", None, False),
+    ("просто текст", "просто текст", None, False),
+    ('{"text": "обор', '{"text": "обор', None, False),
+    ('["а", "б"]', None, None, True),
+    ("17", None, None, True),
+    ("{}", "", None, False),
+    ("", "", None, False),
+)
+
+
+@query(
+    "SELECT id, text, advertiser, failed FROM (VALUES "
+    + ", ".join(f"({i}, " + ", ".join("NULL" if v is None else "'" + v + "'" for v in (t, a)) + f", {f})" for i, (_, t, a, f) in enumerate(_ANSWERS))
+    + ") t(id, text, advertiser, failed)"
+)
+def q_broken_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers that are fenced, cut, no JSON or no object."""
+    raw = spark.createDataFrame([(i, a[0]) for i, a in enumerate(_ANSWERS)], "id int, raw string")
+    return raw.select("id", text.parse_answer(F.col("raw")).alias("r")).select("id", "r.text", "r.advertiser", "r.failed")
+
+
 @query(
     r"""SELECT key, regexp_replace(concat_ws(chr(10), nullif(text, ''), CASE WHEN created % 2 < 1 THEN '+7 495 123-45-67' END), '^\s+|\s+$', '', 'g') AS text,
   nullif(advertiser, '') AS advertiser, nullif(trim(is_realty), '') AS is_realty, false AS failed FROM ocr_cache"""
@@ -383,13 +410,34 @@ def q_image_stats(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     _GRAY
     + """SELECT vec_id, (edges >= 0.025 AND (sd >= 18 OR 0.05 >= 0.12)) OR (edges >= 0.025 AND bright >= 0.45 AND dark >= 0.01 AND sd >= 18) OR (vec_id % 3 = 0 AND edges >= 0.025) AS is_ad,
-  round(least(1.0, 0.5 * edges / 0.025 + 0.5 * sd / 18), 2) AS score FROM s"""
+  round_even(least(1.0, 0.5 * edges / 0.025 + 0.5 * sd / 18), 3) AS score FROM s"""
 )
 def q_visual_gate(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     gate = scoring.visual_gate(c("edge_density"), c("gray_std"), F.lit(0.05), c("bright_ratio"), c("dark_ratio"), c("gray_std"), c("vec_id") % 3 == 0)
-    full = F.least(F.lit(1.0), 0.5 * c("edge_density") / 0.025 + 0.5 * c("gray_std") / 18)
-    return _gray(spark, sf).select("vec_id", gate["is_ad"].alias("is_ad"), F.round(full, 2).alias("score"))
+    return _gray(spark, sf).select("vec_id", gate["is_ad"].alias("is_ad"), gate["score"].alias("score"))
+
+
+@query(
+    """WITH g AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round(least(255, greatest(0, 128 + 400 * x))) AS DOUBLE)) AS g FROM embeddings),
+px AS (SELECT vec_id, i, g[3 * i + 1] AS r, g[3 * i + 2] AS gr, g[3 * i + 3] AS b FROM g, range(0, 21) t(i))
+SELECT vec_id, round(sqrt(var_pop(r - gr) + var_pop((r + gr) / 2 - b)) + 0.3 * sqrt(power(avg(r - gr), 2) + power(avg((r + gr) / 2 - b), 2)), 6) AS colorfulness,
+  round(avg((greatest(r, gr, b) - least(r, gr, b)) / (greatest(r, gr, b) + 1e-6)), 6) AS saturation FROM px GROUP BY vec_id"""
+)
+def q_colour_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Colour statistics of pictures of 7 x 3 pixels made of the vectors."""
+    from adlens.operators.images import with_visual_stats
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        for df in batches:
+            data = [np.floor(np.clip(128 + 400 * np.asarray(e, np.float64), 0, 255) + 0.5).astype(np.uint8)[:63].reshape(21, 3)[:, ::-1].tobytes() for e in df.embedding]
+            yield pd.DataFrame({"vec_id": df.vec_id, "width": 7, "height": 3, "data": data})
+
+    made = table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, width int, height int, data binary")
+    return with_visual_stats(made).select("vec_id", F.round("colorfulness", 6).alias("colorfulness"), F.round("saturation", 6).alias("saturation"))
 
 
 _VIEWS = """WITH v AS (SELECT i AS v, radians(60.0 * i) AS yaw FROM range(6) t(i)),
@@ -447,14 +495,18 @@ def q_box_in_panorama(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    r"""WITH n AS (SELECT ocr_engine, trim(regexp_replace(replace(lower(coalesce(text, '')), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS truth,
-  trim(regexp_replace(replace(lower(left(coalesce(text, ''), 60)), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS got,
-  trim(regexp_replace(replace(lower(coalesce(advertiser, '')), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS adv, coalesce(advertiser, '') AS a0, left(coalesce(text, ''), 60) AS g0 FROM banners),
+    r"""WITH p AS (SELECT *, first_value(text) OVER o AS t0, first_value(advertiser) OVER o AS a, row_number() OVER o AS rn FROM banners WHERE banner_id IS NOT NULL WINDOW o AS (PARTITION BY banner_id ORDER BY seq)),
+n AS (SELECT ocr_engine, trim(regexp_replace(replace(lower(coalesce(t0, '')), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS truth,
+  trim(regexp_replace(replace(lower(coalesce(text, '')), 'ё', 'е'), '[^0-9a-zа-я%]+', ' ', 'g')) AS got,
+  trim(regexp_replace(replace(lower(coalesce(a, '')), 'ё', 'е'), '[^0-9a-zа-я]+', ' ', 'g')) AS adv, coalesce(a, '') AS a0, coalesce(text, '') AS g0 FROM p WHERE rn > 1),
 w AS (SELECT *, list_filter(string_split(truth, ' '), lambda x: length(x) >= 3) AS ws FROM n)
 SELECT ocr_engine, count(*) AS n, round(avg(CASE WHEN len(ws) > 0 THEN len(list_filter(ws, lambda x: contains(got, x))) / len(ws) END), 6) AS recall,
   round(100.0 * avg(CAST(CASE WHEN a0 = '' THEN g0 = '' ELSE g0 <> '' AND contains(got, adv) END AS INT)), 6) AS advertiser_ok FROM w GROUP BY ocr_engine"""
 )
 def q_word_recall(spark: SparkSession, sf: str) -> DataFrame:
-    got = F.left(F.coalesce("text", F.lit("")), F.lit(60))
-    b = spread(table(spark, sf, "banners").select("ocr_engine", "text", "advertiser")).select("ocr_engine", scoring.word_recall(F.col("text"), got).alias("r"), scoring.answer_matches(F.col("advertiser"), got).alias("m"))
-    return b.groupBy("ocr_engine").agg(F.count("*").alias("n"), F.round(F.avg("r"), 6).alias("recall"), F.round(100 * F.avg(F.col("m").cast("int")), 6).alias("advertiser_ok"))
+    """Whole texts of later readings of a board against those of its first reading, by the later one's engine."""
+    b = table(spark, sf, "banners").filter("banner_id is not null").select("banner_id", "seq", "ocr_engine", "text", "advertiser")
+    first = b.groupBy("banner_id").agg(F.min_by(F.struct("seq", "text", "advertiser"), "seq").alias("t"))
+    later = b.join(first, "banner_id").filter(F.col("seq") > F.col("t.seq"))
+    r = later.select("ocr_engine", scoring.word_recall(F.col("t.text"), F.coalesce("text", F.lit(""))).alias("r"), scoring.answer_matches(F.col("t.advertiser"), F.col("text")).alias("m"))
+    return r.groupBy("ocr_engine").agg(F.count("*").alias("n"), F.round(F.avg("r"), 6).alias("recall"), F.round(100 * F.avg(F.col("m").cast("int")), 6).alias("advertiser_ok"))

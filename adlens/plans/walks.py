@@ -103,12 +103,12 @@ START, BOX = (38.0, 45.0), (37.8, 44.8, 38.2, 45.2)
     """WITH RECURSIVE p AS MATERIALIZED (SELECT oid, any_value(panoid) AS panoid, any_value(lon) AS lon, any_value(lat) AS lat, any_value(neighbor_oids) AS ns
   FROM panoramas WHERE status = 'success' AND oid IS NOT NULL AND panoid IS NOT NULL GROUP BY oid),
 s AS (SELECT arg_min(panoid, (sqrt(power((38 - lon) * 111320 * cos(radians((lat + 45) / 2)), 2) + power((45 - lat) * 111320, 2)), panoid)) AS panoid FROM p),
-w(panoid) AS (SELECT panoid FROM s UNION SELECT b.panoid FROM w JOIN p a ON a.panoid = w.panoid AND a.lon BETWEEN 37.8 AND 38.2 AND a.lat BETWEEN 44.8 AND 45.2
-  JOIN p b ON list_contains(a.ns, b.oid))
-SELECT DISTINCT w.panoid FROM w JOIN p USING (panoid) WHERE lon BETWEEN 37.8 AND 38.2 AND lat BETWEEN 44.8 AND 45.2"""
+w(panoid, level) AS (SELECT panoid, 0 FROM s UNION SELECT b.panoid, w.level + 1 FROM w JOIN p a ON a.panoid = w.panoid AND a.lon BETWEEN 37.8 AND 38.2 AND a.lat BETWEEN 44.8 AND 45.2
+  JOIN p b ON list_contains(a.ns, b.oid) WHERE w.level < 300)
+SELECT w.panoid, min(w.level) AS level FROM w JOIN p USING (panoid) WHERE lon BETWEEN 37.8 AND 38.2 AND lat BETWEEN 44.8 AND 45.2 GROUP BY w.panoid"""
 )
 def q_walk(spark: SparkSession, sf: str) -> DataFrame:
-    return walk(table(spark, sf, "panoramas"), *START, bbox=BOX).select("panoid")
+    return walk(table(spark, sf, "panoramas"), *START, bbox=BOX).select("panoid", "level")
 
 
 @query()

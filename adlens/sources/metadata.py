@@ -58,8 +58,17 @@ def landed(spark: SparkSession, path: str) -> DataFrame:
     return parsed(spark.read.text(path, wholetext=True))
 
 
-def rendered(panoramas: DataFrame) -> DataFrame:
-    """(oid, value): panoramas written back as metadata documents (for landing and tests)."""
+def page(rows: DataFrame, key: str, skip: int, size: int) -> DataFrame:
+    """`size` distinct keys after the first `skip` of them, in order: a page of a fixed sample."""
+    return rows.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(key).offset(skip).limit(size)
+
+
+def rendered(panoramas: DataFrame, beside: str | None = None) -> DataFrame:
+    """(oid, value): panoramas written back as metadata documents (for landing and tests).
+
+    With `beside` there are three markers: one farther off before the panorama's own, and
+    one at its very place after it, both with that description.
+    """
     link = lambda o: F.struct(F.struct(F.concat(F.lit("https://maps.example.net/?oid="), o, F.lit("&z=1")).alias("href")).alias("Connection"))
     data = F.struct(
         F.col("panoid").alias("panoramaId"), "timestamp", F.struct(F.array("lon", "lat").alias("coordinates")).alias("Point"),
@@ -67,10 +76,14 @@ def rendered(panoramas: DataFrame) -> DataFrame:
         F.struct(F.col("image_id").alias("imageId"), F.struct(F.col("tile_size").alias("width")).alias("Tiles"), F.col("zooms").alias("Zooms")).alias("Images"),
     )
     mark = F.struct(F.struct(F.col("address").alias("description")).alias("properties"), F.struct(F.array("lon", "lat").alias("coordinates")).alias("geometry"))
+    marks = [mark]
+    if beside is not None:
+        at = lambda lon: F.struct(F.struct(F.lit(beside).alias("description")).alias("properties"), F.struct(F.array(lon, F.col("lat")).alias("coordinates")).alias("geometry"))
+        marks = [at(F.col("lon") + 0.001).alias("m"), mark.alias("m"), at(F.col("lon")).alias("m")]
     half = F.floor(F.size("neighbor_oids") / 2).cast("int")
     first = F.slice("neighbor_oids", F.lit(1), F.greatest(half, F.lit(0)))
     rest = F.slice("neighbor_oids", half + 1, F.greatest(F.size("neighbor_oids"), F.lit(0)))
-    note = F.struct(F.transform(first, link).alias("Thoroughfares"), F.transform(rest, link).alias("Connections"), F.array(mark).alias("Markers"))
+    note = F.struct(F.transform(first, link).alias("Thoroughfares"), F.transform(rest, link).alias("Connections"), F.array(*marks).alias("Markers"))
     return panoramas.select("oid", F.to_json(F.struct("status", F.struct(data.alias("Data"), note.alias("Annotation")).alias("data"))).alias("value"))
 
 
