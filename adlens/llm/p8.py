@@ -13,16 +13,22 @@ from adlens.session import spread, table
 
 #: Labelled documents that the models are fitted on (bound of the training sample).
 SAMPLE_DOCS = 6_000
-#: Held-out passages that teach the background model.
+#: Held-out passages that teach the background model (another bound of the sample).
 SAMPLE_ITEMS = 2_000
+#: Longest text that teaches a model; with the numbers of texts it bounds what the driver holds.
+SAMPLE_CHARS = 20_000
 
 
 def fitted(documents: DataFrame, labels: DataFrame, items: DataFrame, sample: int = SAMPLE_DOCS) -> SubjectModel:
-    """Models from a hash sample of at most `sample` labelled documents; the same at any order of rows."""
+    """Models from a hash sample of at most `sample` labelled documents; the same at any order of rows.
+
+    The sample is bounded by SAMPLE_DOCS, SAMPLE_ITEMS and SAMPLE_CHARS; every text is
+    classified, whatever its length.
+    """
     of = labels.filter("doc_id is not null and subject is not null").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("subjects"))
     picked = of.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = documents.filter(F.col("text").rlike(r"\S")).select("doc_id", "text").join(F.broadcast(picked), "doc_id").collect()
-    held = items.filter("text is not null").select("item_id", "text").orderBy(F.xxhash64("item_id"), "item_id").limit(SAMPLE_ITEMS).collect()
+    rows = documents.filter(F.col("text").rlike(r"\S") & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", "text").join(F.broadcast(picked), "doc_id").collect()
+    held = items.filter(F.length("text") <= SAMPLE_CHARS).select("item_id", "text").orderBy(F.xxhash64("item_id"), "item_id").limit(SAMPLE_ITEMS).collect()
     docs = [(r.text, r.subjects) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))]
     return SubjectModel().fit(docs, [r.text for r in held])
 
