@@ -15,6 +15,7 @@ from adlens.operators import crops, ranking, recognition
 from adlens.operators.dictionary import Directory
 from adlens.operators.graph import numbered
 from adlens.operators.greedy import first_fit_boards
+from adlens.session import shared_dir
 from adlens.sources import metadata
 from adlens.sources.config import Settings
 
@@ -98,19 +99,22 @@ def paired(boxes_: DataFrame, banners: DataFrame) -> DataFrame:
     boxes without a reading are rows too. A reading arrives by its own seq, an unread box
     just after its panorama's first reading, those of unread panoramas last.
     """
-    c = F.col
-    of = Window.partitionBy("panoid")
-    b = boxes_.withColumn("place", F.row_number().over(of.orderBy("idx", "fx0")))
-    r = banners.select("panoid", c("seq").alias("arrival"), *READING[:-1], c("ocr_engine").alias("engine"), *[c(k).alias(f"own_{k}") for k in PLACE])
-    r = r.withColumn("first", F.min("arrival").over(Window.partitionBy("panoid", "own_banner_id")))
-    r = r.withColumn("place", F.dense_rank().over(of.orderBy("first", "own_banner_id")))
+    # Places and numbers are found on narrow rows; texts and boxes join them once.
+    c, of = F.col, Window.partitionBy("panoid")
+    shared_dir(banners.sparkSession)
+    known = boxes_.withColumn("box", F.monotonically_increasing_id()).checkpoint()
+    b = known.select("panoid", "box", "idx", "fx0", F.row_number().over(of.orderBy("idx", "fx0", "box")).alias("place"))
+    r = banners.select("panoid", c("seq").alias("arrival"), "banner_id").withColumn("first", F.min("arrival").over(Window.partitionBy("panoid", "banner_id")))
+    r = r.select("panoid", "arrival", F.dense_rank().over(of.orderBy("first", "banner_id")).alias("place"))
     j = b.join(r, ["panoid", "place"], "full")
+    came = F.coalesce("arrival", F.min("arrival").over(of), F.lit((1 << 63) - 1))
+    j = j.withColumn("order", F.struct(came.alias("came"), c("arrival").isNull().alias("unread"), "panoid", "idx", "fx0", "box"))
+    j = numbered(j, ["panoid", "box", "arrival"], "order", "seq")
+    stored = banners.select(c("seq").alias("arrival"), *READING[:-1], c("ocr_engine").alias("engine"), *[c(k).alias(f"own_{k}") for k in PLACE])
+    j = j.join(stored, "arrival", "left").join(known.drop("panoid"), "box", "left")
     for k in PLACE[:5]:
         j = j.withColumn(k, F.when(c("idx").isNull(), c(f"own_{k}")).otherwise(c(k)))
-    unread = c("arrival").isNull()
-    came = F.coalesce("arrival", F.min("arrival").over(of), F.lit((1 << 63) - 1))
-    j = j.withColumn("order", F.struct(came.alias("came"), unread.alias("unread"), "panoid", "idx", "fx0"))
-    return numbered(j, [k for k in j.columns if k not in ("order", "arrival", "first", "place")], "order", "seq")
+    return j.drop("box", "arrival")
 
 
 def assembled_readings(boxes_: DataFrame, banners: DataFrame, directory: Directory | None = None, settings: Settings | None = None) -> DataFrame:

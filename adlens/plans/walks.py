@@ -196,5 +196,7 @@ def q_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     panoramas, detections = table(spark, sf, "panoramas"), table(spark, sf, "detections")
     boxes_ = candidates(detections, panoramas)
     shared_dir(spark)
-    rows = assembled_readings(boxes_, table(spark, sf, "banners"), Directory.from_table(table(spark, sf, "brands"))).checkpoint()  # read several times
-    return accepted(rows).select("banner_id", "panoid", "category", "brand", "brand_matched", F.array_join("phones", ", ").alias("phones"), F.round("bearing_deg", 4).alias("bearing_deg"))
+    rows = assembled_readings(boxes_, table(spark, sf, "banners"), Directory.from_table(table(spark, sf, "brands")))
+    given = ("banner_id", "panoid", "category", "brand", "brand_matched", "phones", "bearing_deg")
+    rows = rows.select("seq", "lon", "lat", *given).checkpoint()  # read several times
+    return accepted(rows).select(*given[:5], F.array_join("phones", ", ").alias("phones"), F.round("bearing_deg", 4).alias("bearing_deg"))
