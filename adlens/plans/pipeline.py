@@ -22,6 +22,10 @@ from adlens.sources.config import Settings
 VIEWER = "https://maps.example.net/"
 
 
+#: What a box needs of its panorama.
+OF_PANORAMA = ("panoid", "lon", "lat", "timestamp", "tile_size", "zooms", "azimuth_origin", "address")
+
+
 def candidates(detections: DataFrame, panoramas: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Boxes worth reading: above the margin, not overlapping a better one, of usable size, best first per panorama."""
     s = settings or Settings()
@@ -32,7 +36,7 @@ def candidates(detections: DataFrame, panoramas: DataFrame, settings: Settings |
     listed = d.groupBy("panoid").agg(F.sort_array(F.collect_list(F.struct(order.alias("order"), "idx", "score", "label", *boxes.BOX))).alias("b"))
     plain = F.transform("b", lambda x: F.struct(*[x[k].alias(k) for k in ("idx", "score", "label", *boxes.BOX)]))
     kept = listed.select("panoid", F.explode(boxes.suppressed(plain, element, s.get("detector.iou"))).alias("k")).select("panoid", "k.*")
-    one = metadata.earliest(panoramas.filter("status = 'success'"), "panoid")
+    one = metadata.earliest(panoramas.filter("status = 'success'").select(*OF_PANORAMA), "panoid")
     sized = kept.join(one, "panoid").withColumn("z", boxes.zoom_level(F.col("zooms"), s.get("panorama.crop_zoom")))
     sized = sized.withColumn("z", F.coalesce("z", boxes.zoom_level(F.col("zooms"), s.get("panorama.overview_zoom"))))
     w, h = boxes.pixel_size({k: F.col(k) for k in boxes.BOX}, F.col("z.width"), F.col("z.height"))
@@ -111,7 +115,7 @@ def paired(boxes_: DataFrame, banners: DataFrame) -> DataFrame:
     j = j.withColumn("order", F.struct(came.alias("came"), c("arrival").isNull().alias("unread"), "panoid", "idx", "fx0", "box"))
     j = numbered(j, ["panoid", "box", "arrival"], "order", "seq")
     stored = banners.select(c("seq").alias("arrival"), *READING[:-1], c("ocr_engine").alias("engine"), *[c(k).alias(f"own_{k}") for k in PLACE])
-    j = j.join(stored, "arrival", "left").join(known.drop("panoid"), "box", "left")
+    j = j.join(stored, "arrival", "left").join(known.drop("panoid", "tile_size", "zooms", "z"), "box", "left")
     for k in PLACE[:5]:
         j = j.withColumn(k, F.when(c("idx").isNull(), c(f"own_{k}")).otherwise(c(k)))
     return j.drop("box", "arrival")
