@@ -96,6 +96,14 @@ def zero_shot(vector: Column, prompts: Sequence[tuple[str, Sequence[float]]], sc
     return F.zip_with(softmax(cosines, scale), names, lambda p, n: F.struct(p.alias("p"), n.alias("name")))
 
 
+def classified(text: Column, vector: Column | None = None, prompts: Sequence[tuple[str, Sequence[float]]] = ()) -> Column:
+    """Category of a reading: the likeliest prompt where there is a picture's vector, else by the words of its text."""
+    if vector is None or not prompts:
+        return keyword_category(text)
+    best = F.array_max(F.filter(zero_shot(vector, prompts), lambda s: s["p"].isNotNull()))
+    return F.coalesce(F.when(F.size(vector) > 0, best["name"]), keyword_category(text))
+
+
 # Thresholds of the visual gate.
 def visual_gate(
     edges: Column, colour: Column, saturation: Column, bright: Column, dark: Column, contrast: Column, has_text: Column | None = None,

@@ -57,8 +57,14 @@ def presentation(banners: DataFrame, extra: list[str] | None = None) -> DataFram
     return banners.select(*(extra or ()), *[shown.get(k, text.or_empty(c(k)) if k in banners.columns else F.lit("")).alias(k) for k, _, _ in COLUMNS])
 
 
-def export_workbook(banners: DataFrame, path: str, realty_only: bool = False, include_unsure: bool = True) -> int:
-    """Writes the workbook; rows of private advertisements go on a sheet of their own and aren't counted."""
+def export_workbook(banners: DataFrame, path: str, realty_only: bool = False, include_unsure: bool = True, pictures: DataFrame | None = None) -> int:
+    """Writes the workbook; rows of private advertisements go on a sheet of their own and aren't counted.
+
+    `pictures` (crop_image_path, data: PNG) are shown over the first cell of their rows.
+    """
+    if pictures is not None:
+        one = pictures.filter("crop_image_path is not null").groupBy("crop_image_path").agg(F.min("data").alias("_picture"))
+        banners = banners.join(one, "crop_image_path", "left")
     order = [F.coalesce("developer", "advertiser", F.lit("яяя")).asc(), F.col("complex_name").asc_nulls_first()]
     if realty_only:
         parts = [("недвижимость", realty(banners, include_unsure, False)), ("частные объявления", realty(banners, include_unsure, True))]
@@ -66,6 +72,7 @@ def export_workbook(banners: DataFrame, path: str, realty_only: bool = False, in
         parts = [("banners", banners)]
         order = [F.col("category").asc_nulls_first()]
     titles = {k: t for k, t, _ in COLUMNS}
-    sheets = [(title, presentation(df.orderBy(*order)).toDF(*[titles[k] for k, _, _ in COLUMNS])) for title, df in parts]
-    counts = write_sheets(path, sheets, {t: w for _, t, w in COLUMNS}, link=titles["source_url"])
+    extra = [] if pictures is None else ["_picture"]
+    sheets = [(title, presentation(df.orderBy(*order), extra).toDF(*extra, *[titles[k] for k, _, _ in COLUMNS])) for title, df in parts]
+    counts = write_sheets(path, sheets, {t: w for _, t, w in COLUMNS}, link=titles["source_url"], picture="_picture")
     return counts[0]

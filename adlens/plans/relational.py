@@ -186,6 +186,14 @@ def q_cache_join(spark: SparkSession, sf: str) -> DataFrame:
     return recognition.cached(_keyed(spark, sf), c).select("seq", "hit")
 
 
+@query(_CACHE + "SELECT b.ocr_engine AS engine, count(c.k) AS hits, count(*) - count(c.k) AS misses FROM banners b LEFT JOIN c ON c.k = b.ocr_engine || ':' || sha256(b.text) GROUP BY engine")
+def q_cache_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """How often the cache answers, by engine."""
+    c = table(spark, sf, "ocr_cache").withColumn("key", F.concat("engine", F.lit(":"), F.sha2("text", 256)))
+    asked = table(spark, sf, "banners").select(F.col("ocr_engine").alias("by"), F.concat("ocr_engine", F.lit(":"), F.sha2("text", 256)).alias("key"))
+    return recognition.cached(asked, c).groupBy(F.col("by").alias("engine")).agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"))
+
+
 @query("SELECT key, arg_max(engine, created) AS engine, max(created) AS created FROM (SELECT key, engine, created FROM ocr_cache UNION ALL SELECT key, 'again', created + 1 FROM ocr_cache WHERE engine = 'vlm-a') GROUP BY key")
 def q_cache_insert(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "ocr_cache").select("key", "engine", "created")

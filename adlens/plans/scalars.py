@@ -380,6 +380,19 @@ def q_zero_shot(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("vec_id", F.col("b.name").alias("best"), F.round("b.p", 6).alias("p"))
 
 
+@query(
+    _SHOT.format(1).rstrip()
+    + ", b AS (SELECT vec_id, CAST(arg_max(name, p) AS VARCHAR) AS best FROM p GROUP BY vec_id), k AS ("
+    + category_sql("text")
+    + ") SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN b.best ELSE k.category END AS category FROM b JOIN k ON k.seq = b.vec_id"
+)
+def q_classified(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories by the picture's vector; every other picture is missing, so that the text decides."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.when(F.col("vec_id") % 2 == 0, F.col("embedding")).alias("embedding"))
+    rows = e.join(table(spark, sf, "banners").select(F.col("seq").alias("vec_id"), "text"), "vec_id")
+    return rows.select("vec_id", scoring.classified(F.col("text"), F.col("embedding"), _prompts(spark, sf)).alias("category"))
+
+
 @query(_SHOT.format(100) + "SELECT vec_id, round(sum(p) FILTER (WHERE name % 2 = 0), 6) AS p_ad, sum(p) FILTER (WHERE name % 2 = 0) >= 0.5 AS is_ad FROM p GROUP BY vec_id")
 def q_zero_shot_gate(spark: SparkSession, sf: str) -> DataFrame:
     prompts = _prompts(spark, sf)

@@ -93,9 +93,8 @@ def by_oid(frontier: DataFrame, panoramas: DataFrame) -> DataFrame:
 
 
 def earliest(panoramas: DataFrame, key: str) -> DataFrame:
-    """The row of the earliest timestamp of each key; of equally early ones the smallest by its values."""
-    values = [c for c in panoramas.columns if c not in (key, "timestamp")]
-    order = F.struct("timestamp", *values)
+    """The row of the earliest timestamp (if there is one) of each key; of equally early ones the smallest by its values."""
+    order = F.struct(*sorted((c for c in panoramas.columns if c != key), key=lambda c: c != "timestamp"))
     return panoramas.groupBy(key).agg(F.min(order).alias("_r")).select(*[F.col(c) if c == key else F.col(f"_r.`{c}`") for c in panoramas.columns])
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import struct
+import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
+from typing import IO
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
@@ -37,16 +41,26 @@ _STYLES = (
 )
 
 
+PACKAGE = "http://schemas.openxmlformats.org/package/2006"
+#: Fixed values of the format: rows of a sheet below its header.
+ROWS = 1_048_575
+#: Pixels that a picture may take.
+BOX_W, BOX_H = 440, 200
+
+
 class Workbook:
     """Minimal spreadsheet writer: sheets stream row by row into the archive."""
 
     def __init__(self, path: str):
         self.zip = zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED)
         self.sheets: list[str] = []
+        self.drawings: list[int] = []
 
-    def sheet(self, title: str, header: list[tuple[str, int]], rows: Iterable[tuple], link: int | None = None) -> int:
+    def sheet(self, title: str, header: list[tuple[str, int]], rows: Iterable[tuple], link: int | None = None, picture: int | None = None) -> int:
+        """Rows of a sheet, at most ROWS; `link` is the column of addresses, `picture` one of PNG files shown over the first column."""
         self.sheets.append(title[:31])
         n, links = 0, []
+        spool, placed = tempfile.TemporaryFile(), []  # the archive takes one entry at a time
         last = _column(len(header) - 1)
         with self.zip.open(f"xl/worksheets/sheet{len(self.sheets)}.xml", "w", force_zip64=True) as f:
             put = lambda s: f.write(s.encode("utf-8"))
@@ -58,22 +72,55 @@ class Workbook:
                 n += 1
                 if link is not None and row[link]:
                     links.append((f"{_column(link)}{n + 1}", str(row[link])))
-                put(f'<row r="{n + 1}">' + "".join(_cell(f"{_column(i)}{n + 1}", v, 0) for i, v in enumerate(row)) + "</row>")
+                tall = ""
+                if picture is not None:
+                    row = list(row)
+                    data = row.pop(picture)
+                    if data:
+                        placed.append((n, spool.tell(), len(data), *struct.unpack(">II", bytes(data[16:24]))))
+                        spool.write(data)
+                        tall = f' ht="{BOX_H * 0.75 + 4:g}" customHeight="1"'
+                put(f'<row r="{n + 1}"{tall}>' + "".join(_cell(f"{_column(i)}{n + 1}", v, 0) for i, v in enumerate(row)) + "</row>")
             put(f'</sheetData><autoFilter ref="A1:{last}{max(2, n + 1)}"/>')
             if links:
                 put("<hyperlinks>" + "".join(f'<hyperlink ref="{r}" r:id="rId{i}"/>' for i, (r, _) in enumerate(links, 1)) + "</hyperlinks>")
+            if placed:
+                put('<drawing r:id="rIdPictures"/>')
             put("</worksheet>")
-        if links:
-            base = "http://schemas.openxmlformats.org/officeDocument/2006/relationships/hyperlink"
-            rels = "".join(f'<Relationship Id="rId{i}" Type="{base}" Target={quoteattr(u)} TargetMode="External"/>' for i, (_, u) in enumerate(links, 1))
-            self.zip.writestr(f"xl/worksheets/_rels/sheet{len(self.sheets)}.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>')
+        base, page = "http://schemas.openxmlformats.org/officeDocument/2006/relationships", len(self.sheets)
+        rels = "".join(f'<Relationship Id="rId{i}" Type="{base}/hyperlink" Target={quoteattr(u)} TargetMode="External"/>' for i, (_, u) in enumerate(links, 1))
+        if placed:
+            rels += f'<Relationship Id="rIdPictures" Type="{base}/drawing" Target="../drawings/drawing{page}.xml"/>'
+            self._pictures(page, spool, placed)
+        if rels:
+            self.zip.writestr(f"xl/worksheets/_rels/sheet{page}.xml.rels", f'<Relationships xmlns="{PACKAGE}/relationships">{rels}</Relationships>')
+        spool.close()
         return n
 
+    def _pictures(self, page: int, spool: IO[bytes], placed: list[tuple[int, int, int, int, int]]) -> None:
+        """Pictures of a sheet, each in the first cell of its row, made smaller to fit but never larger."""
+        main, draw = "http://schemas.openxmlformats.org/drawingml/2006", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+        self.drawings.append(page)
+        anchors, rels = [], []
+        for k, (row, at, size, w, h) in enumerate(placed, 1):
+            scale = min(BOX_W / w, BOX_H / h, 1.0)
+            spool.seek(at)
+            self.zip.writestr(f"xl/media/p{page}_{k}.png", spool.read(size), zipfile.ZIP_STORED)
+            rels.append(f'<Relationship Id="rId{k}" Type="{draw}/image" Target="../media/p{page}_{k}.png"/>')
+            extent = f'cx="{int(w * scale * 9525)}" cy="{int(h * scale * 9525)}"'
+            anchors.append(
+                f'<xdr:oneCellAnchor><xdr:from><xdr:col>0</xdr:col><xdr:colOff>0</xdr:colOff><xdr:row>{row}</xdr:row><xdr:rowOff>0</xdr:rowOff></xdr:from><xdr:ext {extent}/>'
+                f'<xdr:pic><xdr:nvPicPr><xdr:cNvPr id="{k}" name="p{k}"/><xdr:cNvPicPr/></xdr:nvPicPr><xdr:blipFill><a:blip r:embed="rId{k}"/><a:stretch><a:fillRect/></a:stretch></xdr:blipFill>'
+                f'<xdr:spPr><a:xfrm><a:off x="0" y="0"/><a:ext {extent}/></a:xfrm><a:prstGeom prst="rect"><a:avLst/></a:prstGeom></xdr:spPr></xdr:pic><xdr:clientData/></xdr:oneCellAnchor>'
+            )
+        self.zip.writestr(f"xl/drawings/drawing{page}.xml", f'<xdr:wsDr xmlns:xdr="{main}/spreadsheetDrawing" xmlns:a="{main}/main" xmlns:r="{draw}">' + "".join(anchors) + "</xdr:wsDr>")
+        self.zip.writestr(f"xl/drawings/_rels/drawing{page}.xml.rels", f'<Relationships xmlns="{PACKAGE}/relationships">{"".join(rels)}</Relationships>')
+
     def close(self) -> None:
-        pkg, doc = "http://schemas.openxmlformats.org/package/2006", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+        pkg, doc = PACKAGE, "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
         main = "application/vnd.openxmlformats-officedocument.spreadsheetml"
         k = range(1, len(self.sheets) + 1)
-        self.zip.writestr("[Content_Types].xml", f'<Types xmlns="{pkg}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{main}.styles+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{main}.worksheet+xml"/>' for i in k) + "</Types>")
+        self.zip.writestr("[Content_Types].xml", f'<Types xmlns="{pkg}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Default Extension="png" ContentType="image/png"/><Override PartName="/xl/workbook.xml" ContentType="{main}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{main}.styles+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{main}.worksheet+xml"/>' for i in k) + "".join(f'<Override PartName="/xl/drawings/drawing{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.drawing+xml"/>' for i in self.drawings) + "</Types>")
         self.zip.writestr("_rels/.rels", f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" Type="{doc}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         self.zip.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{pkg}/relationships">' + "".join(f'<Relationship Id="rId{i}" Type="{doc}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in k) + f'<Relationship Id="rId{len(self.sheets) + 1}" Type="{doc}/styles" Target="styles.xml"/></Relationships>')
         self.zip.writestr("xl/styles.xml", _STYLES)
@@ -82,14 +129,30 @@ class Workbook:
         self.zip.close()
 
 
-def write_sheets(path: str, sheets: list[tuple[str, DataFrame]], widths: dict[str, int] | None = None, link: str | None = None) -> list[int]:
-    """Rows of each table in a sheet of its own; rows stream through the driver one partition at a time."""
+def write_sheets(path: str, sheets: list[tuple[str, DataFrame]], widths: dict[str, int] | None = None, link: str | None = None, picture: str | None = None) -> list[int]:
+    """Rows of each table in a sheet of its own; rows stream through the driver one partition at a time.
+
+    A table with more rows than a sheet holds goes on in further sheets. `picture` is a
+    column of PNG files, shown in the first cell of their rows.
+    """
     book = Workbook(path)
     counts = []
     for title, df in sheets:
-        header = [(c, (widths or {}).get(c, 18)) for c in df.columns]
-        at = df.columns.index(link) if link in df.columns else None
-        counts.append(book.sheet(title, header, (tuple(r) for r in df.toLocalIterator()), at))
+        shown = [c for c in df.columns if c != picture]
+        header = [(c, (widths or {}).get(c, 18)) for c in shown]
+        at = shown.index(link) if link in shown else None
+        rows = df.select(*shown, *([picture] if picture in df.columns else []))
+        image = len(shown) if picture in df.columns else None
+        stream, total, part = (tuple(r) for r in rows.toLocalIterator()), 0, 0
+        while True:
+            part += 1
+            n = book.sheet(title if part == 1 else f"{title[:25]} ({part})", header, islice(stream, ROWS), at, image)
+            total += n
+            ahead = next(stream, None) if n == ROWS else None
+            if ahead is None:
+                break
+            stream = chain([ahead], stream)
+        counts.append(total)
     book.close()
     return counts
 

@@ -162,3 +162,28 @@ def test_command_line(spark, tmp_path):
     p = spark.createDataFrame([("o", "p", "success", 38.0, 45.0, 5, "i", 256, [], 90.0, 0.0, [], "")], schemas.PANORAMAS)
     p.write.parquet(f"{tmp_path}/p")
     assert cli.main(["crawl", f"{tmp_path}/p", f"{tmp_path}/state", "38.0,45.0"], spark) == "1 panoramas, frontier empty"
+
+
+def test_pictures_and_long_tables_in_the_workbook(spark, tmp_path, monkeypatch):
+    import zipfile
+    from xml.etree import ElementTree
+
+    import numpy as np
+
+    from adlens.operators.crops import png
+    from adlens.sources import sinks
+
+    data = png(np.full((400, 220, 3), 9, np.uint8))
+    df = spark.createDataFrame([(1, data), (2, None), (3, data), (4, None), (5, None)], "id int, pic binary").orderBy("id")
+    monkeypatch.setattr(sinks, "ROWS", 2)
+    path = f"{tmp_path}/b.xlsx"
+    assert sinks.write_sheets(path, [("t", df), ("empty", df.limit(0))], picture="pic") == [5, 0]
+    with zipfile.ZipFile(path) as z:
+        names = z.namelist()
+        assert len([n for n in names if n.startswith("xl/worksheets/sheet")]) == 4 and z.read("xl/media/p1_1.png") == data and "xl/media/p2_1.png" in names
+        for n in names:
+            if n.endswith((".xml", ".rels")):
+                ElementTree.fromstring(z.read(n))
+        drawing = z.read("xl/drawings/drawing1.xml").decode()
+        assert f'cx="{110 * 9525}" cy="{200 * 9525}"' in drawing and "<xdr:row>1</xdr:row>" in drawing
+        assert z.read("xl/workbook.xml").decode().count("<sheet ") == 4
