@@ -67,7 +67,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> st
         rules = CrawlRules(args.bbox, settings.get("crawl.min_distance_m", 75.0), settings.get("crawl.max_failures", 30), args.max)
         crawl = Crawl(spark, args.state, rules)
         done = crawl.run(spark.read.parquet(args.panoramas), *args.start)
-        out = f"{done.count()} panoramas, {crawl.last().reason}\n{report(crawl.counts())}"
+        logging.getLogger("adlens").info("crawl state:\n%s", report(crawl.counts()))
+        out = f"{done.count()} panoramas, {crawl.last().reason}"
     print(out)
     return out
 
