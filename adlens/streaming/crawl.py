@@ -101,7 +101,9 @@ class Crawl:
         visited and unexpanded. Running again continues where the last run stopped.
         """
         shared_dir(self.spark)
-        meta = usable(panoramas).checkpoint()
+        return self._run(usable(panoramas).checkpoint(), lon, lat)
+
+    def _run(self, meta: DataFrame, lon: float, lat: float) -> DataFrame:
         last = self.last() or self._start(meta, lon, lat)
         first_seq, before = last.done_seq + 1, last.processed
         small = meta.count() <= self.local_nodes
@@ -128,10 +130,12 @@ class Crawl:
         them leads to are asked next, at level 0: every other one left is reached from these.
         Failures in a row don't end it, `max_processed` does.
         """
+        shared_dir(self.spark)
+        meta = usable(panoramas).checkpoint()
         while True:
-            rows = self.run(panoramas, lon, lat)
+            rows = self._run(meta, lon, lat)
             last = self.last()
-            if last.reason == "limit" or last.reason == "frontier empty" and not self._seed(usable(panoramas), last, lon, lat):
+            if last.reason == "limit" or last.reason == "frontier empty" and not self._seed(meta, last, lon, lat):
                 return rows
 
     def _seed(self, meta: DataFrame, last: T.Row, lon: float, lat: float) -> int:
