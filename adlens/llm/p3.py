@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.llm.mapping import directory, normal
-from adlens.session import shared_dir, table
+from adlens.session import shared_dir, spread, table
 
 FIELDS = ("advertiser", "brand", "complex_name")
 #: The directory is an index in every worker; a longer list is refused.
@@ -50,8 +50,8 @@ def answers(cells: DataFrame, brands: DataFrame) -> DataFrame:
                 names=["field_name", "value", "n", "form", "canon", "by"],
             )
 
-    distinct = cells.groupBy("field_name", "value").agg(F.count("*").alias("n"))
-    return distinct.mapInArrow(run, "field_name string, value string, n long, form string, canon string, by string")
+    distinct = cells.groupBy("field_name", "value").agg(F.count("*").alias("n")).checkpoint()
+    return spread(distinct).mapInArrow(run, "field_name string, value string, n long, form string, canon string, by string")
 
 
 def mapped(banners: DataFrame, brands: DataFrame, strict: bool = True) -> DataFrame:
