@@ -32,7 +32,8 @@ def detected(images: DataFrame, make: Callable[[], Callable[[pd.Series], list]],
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
         for df in batches:
-            rows = [[*(row[c] for c in id_cols), i, *box] for _, row in df.iterrows() for i, box in enumerate(model(row))]
+            ids = df[id_cols].itertuples(index=False, name=None)
+            rows = [[*own, i, *box] for own, row in zip(ids, df.itertuples(index=False)) for i, box in enumerate(model(row))]
             yield pd.DataFrame(rows, columns=names)
 
     return images.mapInPandas(run, schema)
