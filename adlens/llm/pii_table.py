@@ -206,7 +206,7 @@ def _name(r: random.Random) -> list[Piece]:
     if kind == 4:
         return [(base, "name"), (r.choice(AFTER), "O")]
     text = r.choice((base, base, base, f"{base} {pat}", f"{base} {pat}", f"{sur} {base} {pat}", f"{base} {pat} {sur}", f"{i}.{j}. {sur}", f"{i}. {j}. {sur}", f"{sur} {i}. {j}.", f"{sur} {i}.{j}.", f"{base} {sur}", f"{sur} {base}"))
-    if r.random() < 0.22:
+    if r.random() < 0.3:
         text = text.upper()
     return [(r.choice(BEFORE_NOM) if r.random() < 0.4 else "", "O"), (text, "name")]
 
@@ -251,8 +251,10 @@ def labelled(rows: int = 12000, seed: int = 11) -> list[list[Piece]]:
         body = [MAKERS[k](r) for k in r.choices(tuple(MAKERS), (5, 2, 2, 3, 5), k=r.choice((0, 1, 1, 2, 2, 3, 4, 5)))]
         body += [[(_said(r, r.choice(ASIDES if r.random() < 0.6 else PLACES)), "O")] for _ in range(r.randrange(0, 5))]
         r.shuffle(body)
+        if r.random() < 0.15:  # signed right after what is offered
+            body.insert(0, _name(r))
         parts += body
-        gap = r.choice(("\n", "\n", ", ", ", ", ". ", ". ", " ", " ", " ", "; ", "\n\n"))
+        gap = r.choice(("\n", "\n", ", ", ", ", ". ", ". ", " ", " ", " ", " ", "; ", "\n\n"))
         pieces: list[Piece] = []
         for i, p in enumerate(parts):
             pieces += ([(gap if r.random() < 0.9 else ", ", "O")] if i else []) + p
