@@ -1,6 +1,8 @@
 import random
+from itertools import product
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from adlens.llm.p8 import fitted, subjects
@@ -58,6 +60,38 @@ def test_table(spark):
     assert subjects(df.limit(0), fitted(df, labels.limit(0), items.limit(0))).count() == 0
 
 
+def test_every_labelled_text_and_item_teaches(spark):
+    """However many there are, and however long."""
+    words = ["".join(w) for w in product("бвгдж", repeat=6)][:9_000]
+    docs = [(i, f"{w} {w}") for i, w in enumerate(words[:6_500])] + [(6_500, "Шиномонтаж круглосуточно. " * 3000 + "Вулканизация, вулканизация.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "авто") for i, _ in docs], "doc_id long, subject string")
+    items = spark.createDataFrame([(i, f"{w} {w}") for i, w in enumerate(words[6_500:])], "item_id long, text string")
+    model = fitted(df, labels, items)
+    assert {*words, "шиномо", "вулкан"} <= model.word.keys()
+
+
+def test_one_process_and_passes_over_a_table_give_equal_models(spark):
+    """Beside a fit in memory, and at other orders and splits of the rows."""
+    data, notes = made(5, 120), ["Складной стела позади погоста.", "Складной зонт."]
+    labels = spark.createDataFrame([(i, s) for i, (_, ss) in enumerate(data) for s in ss], "doc_id long, subject string")
+    rows = [(i, t) for i, (t, _) in enumerate(data)]
+    items = spark.createDataFrame(list(enumerate(notes)), "item_id long, text string")
+    want = SubjectModel().fit(data, notes)
+    for order, parts, local_words in ((1, 1, 10**6), (-1, 3, 0)):
+        got = fitted(spark.createDataFrame(rows[::order], "doc_id long, text string").repartition(parts), labels, items, local_words)
+        assert got.word == want.word and np.array_equal(got.pair, want.pair) and got.boundaries.two == want.boundaries.two
+        assert (got.weights, got.margin, got.threshold) == (want.weights, want.margin, want.threshold)
+        assert np.array_equal(got.p1, want.p1) and np.array_equal(got.p2, want.p2)
+
+
+def test_a_long_batch_scores_its_last_text_like_its_first():
+    model = SubjectModel().fit(made(1, 100))
+    numbers = model._numbers([["шиномо", "кругло"]] * 100_000)
+    score = model._likelihood(numbers)
+    assert np.abs(score - score[0]).max() < 1e-9
+
+
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 def test_held_out_labels(spark):
     """Labels that the models weren't fitted on; a few of them are wrong."""
