@@ -1,14 +1,16 @@
 """Boxes cut out of tiles, straightened, gated and encoded.
 
 A crop is a group of the few tiles that its box touches; the size gate bounds its pixels
-before any tile is read. Pixels stay on the executors.
+before any tile is read. Pixels stay on the executors; tiles are joined from a table, or
+looked up by the task that cuts the boxes of their panorama.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,12 @@ from adlens.functions import boxes, scoring
 from adlens.operators.images import STATS, pixels, rectified, with_visual_stats
 
 EDGES = ("px0", "py0", "px1", "py1")
+CROP = "panoid string, idx int, width int, height int, data binary"
+
+#: Looks up a tile (panoid, x, y): its width, height and BGR bytes, or None if it is missing.
+Fetch = Callable[[str, int, int], tuple[int, int, bytes] | None]
+KEPT = 64  # tiles that a task remembers
+BATCH_BYTES = 16 << 20  # pixels in a worker's hands at once
 
 
 def placed(boxes_: DataFrame, level: Column, pad: float = 0.0) -> DataFrame:
@@ -31,37 +39,85 @@ def placed(boxes_: DataFrame, level: Column, pad: float = 0.0) -> DataFrame:
     return out.select("*", *[F.floor(F.col(e) / F.col("tile_size")).cast("int").alias(f"t{e[1:]}") for e in EDGES])
 
 
-def cropped(boxes_: DataFrame, tiles: DataFrame, zoom: int, pad: float = 0.0, straighten: bool = True) -> DataFrame:
+def cropped(boxes_: DataFrame, tiles: DataFrame | Fetch, zoom: int, pad: float = 0.0, straighten: bool = True) -> DataFrame:
     """(panoid, idx, width, height, data) of each box (panoid, idx, box, zooms, tile_size), `data` as rows of BGR bytes.
 
     Missing tiles stay black, boxes without an area or without the zoom have no row; of
     equal tiles one counts. With `straighten` a crop is turned into perspective where most
     of the picture lies within it.
+
+    `tiles` is a table, or a function by which the executors look up a tile of the zoom.
+    Then no pixels but the crops' leave a task, and a tile that no box touches is never read.
     """
     level = boxes.zoom_level(F.col("zooms"), zoom)
     want = placed(boxes_.select("panoid", "idx", *boxes.BOX, "zooms", "tile_size"), level, pad).drop("zooms").filter("px1 > px0 and py1 > py0")
+    return _looked_up(want, tiles, straighten) if callable(tiles) else _joined(want, tiles.filter(F.col("zoom") == zoom), straighten)
+
+
+def _joined(want: DataFrame, tiles: DataFrame, straighten: bool) -> DataFrame:
     each = want.withColumn("x", F.explode(F.sequence("tx0", "tx1"))).withColumn("y", F.explode(F.sequence("ty0", "ty1")))
-    of_zoom = tiles.filter(F.col("zoom") == zoom).groupBy("panoid", "x", "y").agg(F.min(F.struct("width", "height", "data")).alias("t"))
+    # Spark knows nothing of the size of pictures and would send them all to the driver for a broadcast.
+    one = tiles.groupBy("panoid", "x", "y").agg(F.min(F.struct("width", "height", "data")).alias("t")).hint("merge")
     keys = want.columns
     # A box touches few tiles, so its list is bounded by the size gate.
-    listed = each.join(of_zoom, ["panoid", "x", "y"], "left").groupBy(*keys).agg(F.collect_list(F.when(F.col("t.data").isNotNull(), F.struct("x", "y", "t.width", "t.height", "t.data"))).alias("tiles"))
+    listed = each.join(one, ["panoid", "x", "y"], "left").groupBy(*keys).agg(F.collect_list(F.when(F.col("t.data").isNotNull(), F.struct("x", "y", "t.width", "t.height", "t.data"))).alias("tiles"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [_cut(r, straighten) for r in batch.to_pylist()]
-            arrays = [pa.array([m.shape[1] for m in made], pa.int32()), pa.array([m.shape[0] for m in made], pa.int32()), pa.array([m.tobytes() for m in made], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("panoid"), batch.column("idx"), *arrays], names=["panoid", "idx", "width", "height", "data"])
+            yield from _written(batch, (_cut(r, (tuple(t.values()) for t in r["tiles"]), straighten) for r in _rows(batch)))
+
+    return listed.mapInArrow(run, CROP)
+
+
+def _looked_up(want: DataFrame, fetch: Fetch, straighten: bool) -> DataFrame:
+    """A panorama's boxes come to one task in the order of their tiles, so each tile is read about once."""
+    need = ["panoid", "idx", *boxes.BOX, "tile_size", *EDGES, *([f"b_{k}" for k in boxes.BOX] + ["pano_w", "pano_h"] if straighten else [])]
+    rows = want.filter("tile_size is not null").select(*need).repartition("panoid").dropDuplicates(need)
+    rows = rows.sortWithinPartitions("panoid", F.floor(F.col("py0") / F.col("tile_size")), "px0").select(*[k for k in need if straighten or k not in boxes.BOX])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = lru_cache(KEPT)(fetch)
+
+        def touched(r: dict) -> Iterator[tuple]:
+            size = r["tile_size"]
+            for y in range(r["py0"] // size, (r["py1"] - 1) // size + 1):
+                for x in range(r["px0"] // size, (r["px1"] - 1) // size + 1):
+                    if r["panoid"] is not None and (tile := look(r["panoid"], x, y)):
+                        yield x, y, *tile
+
+        for batch in batches:
+            yield from _written(batch, (_cut(r, touched(r), straighten) for r in _rows(batch)))
+
+    return rows.mapInArrow(run, CROP)
 
-    return listed.mapInArrow(run, "panoid string, idx int, width int, height int, data binary")
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, no more of them at once than fill BATCH_BYTES."""
+    step = max(1, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes))
+    for i in range(0, batch.num_rows, step):
+        yield from batch.slice(i, step).to_pylist()
+
+
+def _written(batch: pa.RecordBatch, crops: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The crops of a batch's rows, written out whenever they fill BATCH_BYTES."""
+    made, size, done = [], 0, 0
+    for m in crops:
+        made.append(m)
+        size += m.nbytes
+        if size >= BATCH_BYTES or done + len(made) == batch.num_rows:
+            arrays = [pa.array([m.shape[1] for m in made], pa.int32()), pa.array([m.shape[0] for m in made], pa.int32()), pa.array([m.tobytes() for m in made], pa.binary())]
+            of = batch.slice(done, len(made))
+            yield pa.RecordBatch.from_arrays([of.column("panoid"), of.column("idx"), *arrays], names=["panoid", "idx", "width", "height", "data"])
+            made, size, done = [], 0, done + len(made)
 
 
-def _cut(r: dict, straighten: bool) -> np.ndarray:
-    """The crop of a box (a row of `placed`) from its tiles."""
+def _cut(r: dict, tiles: Iterable[tuple[int, int, int, int, bytes]], straighten: bool) -> np.ndarray:
+    """The crop of a box (a row of `placed`) from its tiles (x, y, width, height, data)."""
     x0, y0, x1, y1 = (r[e] for e in EDGES)
     out = np.zeros((y1 - y0, x1 - x0, 3), np.uint8)
-    for t in r["tiles"]:
-        tile = np.frombuffer(t["data"], np.uint8).reshape(t["height"], t["width"], 3)
-        left, top = t["x"] * r["tile_size"] - x0, t["y"] * r["tile_size"] - y0  # of the tile within the crop
+    for x, y, width, height, data in tiles:
+        tile = np.frombuffer(data, np.uint8).reshape(height, width, 3)
+        left, top = x * r["tile_size"] - x0, y * r["tile_size"] - y0  # of the tile within the crop
         a, b = max(0, left), max(0, top)
         part = tile[b - top : y1 - y0 - top, a - left : x1 - x0 - left]
         out[b : b + part.shape[0], a : a + part.shape[1]] = part

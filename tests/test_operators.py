@@ -110,6 +110,54 @@ def test_crops_verify_and_routes(spark):
     assert {r.route for r in pipeline.routed(many, cloud=False).collect()} == {"fallback"}
 
 
+def test_crops_never_broadcast_tiles_and_read_only_those_touched(spark, tmp_path):
+    from adlens.operators import crops
+
+    rng = np.random.default_rng(3)
+    tiles = {(p, x, y): picture(rng.integers(0, 256, (8, 8, 3)).astype(np.uint8)) for p in ("p", "q") for x in range(8) for y in range(4) if (x, y) != (1, 1)}
+    made = spark.createDataFrame([(p, 0, x, y, *t) for (p, x, y), t in tiles.items()], "panoid string, zoom int, x int, y int, width int, height int, data binary")
+    ends = np.sort(rng.random((40, 2, 2)) * 0.5, axis=1) + [[0, 0], [0.1, 0.1]]
+    rows = [("pq"[i % 2], i, *map(float, e.ravel())) for i, e in enumerate(ends)] + [("p", 90, 0.0, 0.0, 1 / 8, 1 / 4), (None, 91, 0.1, 0.1, 0.3, 0.3), ("r", 92, 0.1, 0.1, 0.3, 0.3), ("p", 93, 0.2, 0.2, 0.2, 0.3)]
+    df = spark.createDataFrame(rows + rows[:2], "panoid string, idx int, fx0 double, fy0 double, fx1 double, fy1 double")
+    df = df.selectExpr("*", "array(named_struct('level', 0, 'width', 64, 'height', 32)) as zooms", "8 as tile_size")
+    log = str(tmp_path / "read")
+
+    def fetch(panoid, x, y):
+        with open(log, "a") as f:
+            f.write(f"{panoid} {x} {y}\n")
+        return tiles.get((panoid, x, y))
+
+    for straighten in (False, True):
+        joined, looked = (crops.cropped(df, t, 0, pad=0.1, straighten=straighten) for t in (made, fetch))
+        assert not any("Broadcast" in x._jdf.queryExecution().executedPlan().toString() for x in (joined, looked))
+        got = [sorted(((r.panoid or "", r.idx, r.width, r.height, bytes(r.data)) for r in x.collect())) for x in (joined, looked)]
+        assert got[0] == got[1] and len(got[0]) == 43
+        if not straighten:
+            read = open(log).read().splitlines()
+    want = set()
+    for p, _, x0, y0, x1, y1 in rows:
+        dx, dy = (x1 - x0) * 0.1, (y1 - y0) * 0.1
+        if p and dx > 0:
+            (ax, bx), (ay, by) = ((int(max(0.0, lo) * n), int(hi * n) - 1) for lo, hi, n in ((x0 - dx, x1 + dx, 64), (y0 - dy, y1 + dy, 32)))
+            want |= {f"{p} {x} {y}" for x in range(ax // 8, bx // 8 + 1) for y in range(ay // 8, by // 8 + 1)}
+    assert sorted(read) == sorted(want)  # each once
+
+
+def test_crop_pixels_of_large_and_unnamed_boxes(spark, tmp_path):
+    import duckdb
+
+    from adlens.plans.walks import QUERIES, SQL
+
+    rows = [("p", 0, 0.0, 0.0, 1.0, 1.0), ("p", 1, 0.3, 0.2, 0.6, 0.55), ("p", 1, 0.31, 0.2, 0.6, 0.55), (None, 2, 0.1, 0.1, 0.9, 0.9), ("q", None, 0.1, 0.1, 0.9, 0.9), ("q", 4, 0.5, 0.5, 0.5, 0.9)]
+    rows += [(f"n{i // 3}", i, i % 7 / 10, i % 5 / 10, 0.9, 0.8) for i in range(60)]
+    spark.createDataFrame(rows, "panoid string, idx int, fx0 double, fy0 double, fx1 double, fy1 double").coalesce(1).write.parquet(f"{tmp_path}/detections.parquet")
+    df = QUERIES["q_crop_pixels"](spark, str(tmp_path))
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    db = duckdb.connect()
+    db.execute(f"create view detections as select * from read_parquet('{tmp_path}/detections.parquet/*.parquet')")
+    assert sorted(map(tuple, df.collect())) == sorted(db.execute(SQL["q_crop_pixels"]).fetchall())
+
+
 def test_gray_stats_in_the_jvm_equal_numpy(spark):
     g = np.random.default_rng(1).integers(0, 256, (8, 8)).astype(float)
     want = images.visual_stats(np.repeat(g[..., None], 3, axis=-1).astype(np.uint8))
